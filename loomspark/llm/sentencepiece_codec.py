@@ -16,6 +16,7 @@ from __future__ import annotations
 import heapq
 import math
 import re
+from array import array
 from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
@@ -30,7 +31,7 @@ _NORMAL, _BYTE, _USER = 1, 6, 4
 class PrefixTableCodec:
     """Encoder and decoder for a merge-type (BPE) sentencepiece model with byte fallback."""
 
-    def __init__(self, model_path: str, memo_entries: int = 300_000):
+    def __init__(self, model_path: str, memo_entries: int = 250_000):
         import ahocorasick
         from sentencepiece import sentencepiece_model_pb2
 
@@ -65,11 +66,13 @@ class PrefixTableCodec:
         counts = Counter(self.scores.values())
         self._single_scores = {s for s, n in counts.items() if n == 1}
         self.rank = [-1 if p in self.ids and len(p) == 1 else -self.scores.get(p, 0.0) for p in self.pieces]
-        self._pairs: dict[tuple[int, int], bool] = {}
+        self._pairs: dict[int, bool] = {}
         self._splits: dict[int, tuple[int, int] | None] = {}
         self._whole: dict[int, bool] = {}
         self._encoded: dict[str, bytes] = {}
+        self._encoded_before: dict[str, bytes] = {}
         self._decoded: dict[bytes, str] = {}
+        self._decoded_before: dict[bytes, str] = {}
 
     def merged(self, text: str) -> list[str]:
         """The encoding of a short text by repeated best merges; the definition that pairs are tested with."""
@@ -118,7 +121,7 @@ class PrefixTableCodec:
         Undoes the merges of both tokens, latest first. If a pair of parts that faced each other has an
         entry of its own that would have been merged before either part grew, the tokens can't stand.
         """
-        key = (left, right)
+        key = left << 20 | right
         if limit == math.inf and (known := self._pairs.get(key)) is not None:
             return known
         a, b, top = self._split(left), self._split(right), limit
@@ -151,19 +154,21 @@ class PrefixTableCodec:
     def _known(self, text: str) -> list[int]:
         """Ids of a text of which every character is in the vocabulary."""
         size = len(text)
-        last, start, pairs = [-1] * (size + 1), [0] * (size + 1), self._pairs
+        last, start, known = [-1] * (size + 1), [0] * (size + 1), self._pairs.get
+        end = 0
         for at, (token, n) in self.automaton.iter(text):  # of the entries that end at a place, longest first
-            end = at + 1
-            if last[end] >= 0:
-                continue
-            begin = end - n
-            if begin == 0:
+            if at < end:
+                continue  # this place has its token already
+            begin = at + 1 - n
+            if begin:
+                before = last[begin]
+                fits = known(before << 20 | token)
+                if fits is None:
+                    fits = self.compatible(before, token)
+            else:
                 fits = self._reachable(token)
-            elif (before := last[begin]) < 0:
-                continue
-            elif (fits := pairs.get((before, token))) is None:
-                fits = self.compatible(before, token)
             if fits:
+                end = at + 1
                 last[end], start[end] = token, begin
         out, end = [], size
         while end:
@@ -172,71 +177,71 @@ class PrefixTableCodec:
         return out[::-1]
 
     def _part(self, part: str) -> bytes:
-        """Ids of one part as little-endian 32-bit integers."""
-        out: list[int] = []
-        run = ""
-        for c in part:
-            if c in self.chars:
-                run += c
-                continue
-            if run:
+        """Ids of one part as 32-bit integers."""
+        packed = self._encoded_before.get(part)
+        if packed is None:
+            if self.chars.issuperset(part):
+                out = self._known(part)
+            else:
+                out, run = [], ""
+                for c in part:
+                    if c in self.chars:
+                        run += c
+                        continue
+                    out += self._known(run)
+                    out += [self.bytes[b] for b in c.encode()]
+                    run = ""
                 out += self._known(run)
-                run = ""
-            out += [self.bytes[b] for b in c.encode()]
-        if run:
-            out += self._known(run)
-        packed = b"".join(i.to_bytes(4, "little") for i in out)
-        if len(self._encoded) >= self.memo_entries:
-            self._encoded.clear()
+            packed = array("i", out).tobytes()
+        if len(self._encoded) >= self.memo_entries:  # the older half goes
+            self._encoded_before, self._encoded = self._encoded, {}
         if len(part) <= 256:
             self._encoded[part] = packed
         return packed
 
     def encode_packed(self, text: str | None) -> list[bytes]:
-        """Ids of a text, part by part, as little-endian 32-bit integers; none for null or empty text."""
+        """Ids of a text, part by part, as 32-bit integers; none for null or empty text."""
         if not text:
             return []
         marked = text.replace(" ", MARK)
-        known = self._encoded
-        return [known.get(p) or self._part(p) for p in self.parts.findall(MARK + marked if self.dummy_prefix else marked)]
+        return [self._encoded.get(p) or self._part(p) for p in self.parts.findall(MARK + marked if self.dummy_prefix else marked)]
 
     def encode(self, text: str | None) -> list[int]:
         """Ids of a text."""
-        packed = b"".join(self.encode_packed(text))
-        return [int.from_bytes(packed[i : i + 4], "little") for i in range(0, len(packed), 4)]
+        return array("i", b"".join(self.encode_packed(text))).tolist()
 
     def _text(self, packed: bytes) -> str:
         """Text of the ids of a part, word marks kept."""
-        out, raw = [], bytearray()
-        for i in range(0, len(packed), 4):
-            token = int.from_bytes(packed[i : i + 4], "little")
-            if token in self.byte_of:
-                raw.append(self.byte_of[token])
-                continue
+        text = self._decoded_before.get(packed)
+        if text is None:
+            out, raw = [], bytearray()
+            for token in array("i", packed):
+                if token in self.byte_of:
+                    raw.append(self.byte_of[token])
+                    continue
+                if raw:
+                    out.append(raw.decode(errors="replace"))
+                    raw.clear()
+                out.append(self.pieces[token])
             if raw:
                 out.append(raw.decode(errors="replace"))
-                raw.clear()
-            out.append(self.pieces[token])
-        if raw:
-            out.append(raw.decode(errors="replace"))
-        text = "".join(out)
+            text = "".join(out)
         if len(self._decoded) >= self.memo_entries:
-            self._decoded.clear()
+            self._decoded_before, self._decoded = self._decoded, {}
         if len(packed) <= 1024:
             self._decoded[packed] = text
         return text
 
     def decode_packed(self, parts: list[bytes]) -> str:
         """Text of packed ids. A character's byte tokens never lie in two parts."""
-        known = self._decoded
-        text = "".join([known.get(p) or self._text(p) for p in parts])
+        text = "".join([self._decoded.get(p) or self._text(p) for p in parts])
         if self.dummy_prefix and text.startswith(MARK):
             text = text[1:]
         return text.replace(MARK, " ")
 
     def decode(self, ids: list[int]) -> str:
         """Text of ids."""
-        return self.decode_packed([b"".join(i.to_bytes(4, "little") for i in ids)] if ids else [])
+        return self.decode_packed([array("i", ids).tobytes()] if ids else [])
 
 
 @lru_cache(maxsize=2)
@@ -271,7 +276,7 @@ def encode_decode(df: DataFrame, model_path: str, id_col: str = "doc_id", text_c
                     flat.append(packed := b"".join(parts))
                     sizes.append(sizes[-1] + len(packed) // 4)
                     texts.append(worker.decode_packed(parts))
-                ids = pa.array(np.frombuffer(b"".join(flat), dtype="<i4"))
+                ids = pa.array(np.frombuffer(b"".join(flat), dtype=np.int32))
                 lists = pa.ListArray.from_arrays(pa.array(sizes, pa.int32()), ids)
                 yield pa.RecordBatch.from_arrays([cut.column(0), lists, pa.array(texts, pa.string())], names=[id_col, "ids", "decoded"])
 
