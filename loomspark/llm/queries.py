@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from loomspark.session import table
 
+from .sharding import contiguous_shards
 from .sentencepiece_codec import encode_decode
 from .simhash import near_duplicates
 from .url_filter import Rule, judge_urls
@@ -31,6 +32,17 @@ URL_RULES = (
 )
 
 
+SHARDS = 40
+
+
+def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's shard among 40 of nearly equal size, and its slot in it."""
+    found = contiguous_shards(table(spark, sf_dir, "documents"), SHARDS)
+    return found.select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
+    )
+
+
 def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page's URL. Listed: the URLs of pages whose id `labels` marks as toxic or of low quality."""
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
@@ -78,6 +90,7 @@ def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_sharding": op3_sharding,
     "op4_url_filter": op4_url_filter,
     "op7_simhash": op7_simhash,
     "op8_sentencepiece": op8_sentencepiece,
