@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from loomspark.session import table
 
+from .line_dedup import drop_spread_lines
 from .sharding import contiguous_shards
 from .sentencepiece_codec import encode_decode
 from .simhash import near_duplicates
@@ -89,10 +90,38 @@ def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+MIN_SITES = 5
+
+
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the lines that spread over 5 sites or more and that another document owns."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    return drop_spread_lines(docs, min_sites=MIN_SITES).select("doc_id", "text", "removed_lines")
+
+
+OP10_SQL = f"""
+with l as (
+  select doc_id, coalesce(source, '') as site, i as pos, parts[i] as raw, trim(parts[i], ' ' || chr(9) || chr(13)) as line
+  from (select doc_id, source, parts, unnest(range(1, len(parts) + 1)) as i
+        from (select doc_id, source, string_split(text, chr(10)) as parts from documents where text is not null))),
+s as (select line, min(doc_id) as owner from l where line <> '' group by line having count(distinct site) >= {MIN_SITES}),
+m as (
+  select l.doc_id, l.pos, l.raw,
+    s.line is not null and (l.doc_id <> s.owner or row_number() over (partition by l.doc_id, l.line order by l.pos) > 1) as gone
+  from l left join s on l.line = s.line),
+t as (
+  select doc_id, string_agg(raw, chr(10) order by pos) filter (where not gone) as text, cast(count(*) filter (where gone) as integer) as removed_lines
+  from m group by doc_id)
+select d.doc_id, case when d.text is null then null else coalesce(t.text, '') end as text, coalesce(t.removed_lines, 0) as removed_lines
+from documents d left join t using (doc_id)
+"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_sharding": op3_sharding,
     "op4_url_filter": op4_url_filter,
     "op7_simhash": op7_simhash,
     "op8_sentencepiece": op8_sentencepiece,
+    "op10_line_dedup": op10_line_dedup,
 }
-ORACLES: dict[str, str] = {"op4_url_filter": OP4_SQL}
+ORACLES: dict[str, str] = {"op4_url_filter": OP4_SQL, "op10_line_dedup": OP10_SQL}
