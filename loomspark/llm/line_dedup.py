@@ -28,14 +28,14 @@ def line_keys(df: DataFrame, id_col: str, text_col: str, site_col: str) -> DataF
     return lines.where("line <> ''").select(F.xxhash64("line").alias("k1"), F.xxhash64("line", F.lit(1)).alias("k2"), "site", "id")
 
 
-def spread_lines(keys: DataFrame, min_sites: int, margin: float = 0.25, lg_k: int = 12, salts: int = 32) -> DataFrame:
+def spread_lines(keys: DataFrame, min_sites: int, margin: float = 0.25, lg_k: int = 12, salts: int = 256) -> DataFrame:
     """Keys (k1, k2, owner) of lines on at least min_sites sites; owner: the smallest id that has the line.
 
     A line on fewer than min_sites rows, or on one site only, can't spread and gets no sketch. The others
     are dealt out by key and salt, so that a very common line's sketch is built by several tasks. The
     sketch's error at 2**12 registers is 1.6 %; estimates within margin of min_sites are counted exactly.
     """
-    rows = keys.groupBy("k1", "k2").agg(F.count("*").alias("n"), F.min("site").alias("s0"), F.max("site").alias("s1"), F.min("id").alias("owner"))
+    rows = keys.groupBy("k1", "k2").agg(F.count("*").alias("n"), F.min(F.xxhash64("site")).alias("s0"), F.max(F.xxhash64("site")).alias("s1"), F.min("id").alias("owner"))
     likely = materialize(rows.where((F.col("n") >= min_sites) & ((F.col("s0") != F.col("s1")) | F.lit(min_sites <= 1))).select("k1", "k2", "owner"), "line-likely")
     carried = keys.join(likely.select("k1", "k2"), ["k1", "k2"], "left_semi").select("k1", "k2", "site", "id")
     carried = materialize(carried, "line-carried")
