@@ -9,10 +9,12 @@ from pyspark.sql import functions as F
 
 from loomspark.session import table
 
+from .decontamination import overlaps
 from .line_dedup import drop_spread_lines
 from .sharding import contiguous_shards
 from .sentencepiece_codec import encode_decode
 from .simhash import near_duplicates
+from .surrogates import replace_pii
 from .url_filter import Rule, judge_urls
 
 
@@ -33,6 +35,11 @@ URL_RULES = (
 )
 
 
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's overlaps with items of the benchmark; documents without any have no row."""
+    return overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 SHARDS = 40
 
 
@@ -72,6 +79,17 @@ from c left join f on f.page_id = c.page_id and f.url = c.url and f.k = 1 left j
 """
 
 
+#: Secret of the query's surrogates. Production passes its own.
+PII_KEY = b"surrogate key of the registered query"
+
+
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its personal data replaced by surrogates."""
+    found = replace_pii(table(spark, sf_dir, "documents"), PII_KEY)
+    kinds = F.array_join(F.array_sort(F.array_distinct("entities.kind")), ",")
+    return found.select("doc_id", "text", F.size("entities").alias("n_entities"), kinds.alias("kinds"))
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint (hexadecimal) and component of every document."""
     found = near_duplicates(table(spark, sf_dir, "documents"))
@@ -118,8 +136,10 @@ from documents d left join t using (doc_id)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_decontamination": op2_decontamination,
     "op3_sharding": op3_sharding,
     "op4_url_filter": op4_url_filter,
+    "op5_pii": op5_pii,
     "op7_simhash": op7_simhash,
     "op8_sentencepiece": op8_sentencepiece,
     "op10_line_dedup": op10_line_dedup,
