@@ -15,6 +15,7 @@ from .sharding import contiguous_shards
 from .sentencepiece_codec import encode_decode
 from .simhash import near_duplicates
 from .surrogates import replace_pii
+from .toxicity import held_out, score, train
 from .url_filter import Rule, judge_urls
 
 
@@ -90,6 +91,18 @@ def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "text", F.size("entities").alias("n_entities"), kinds.alias("kinds"))
 
 
+TOXIC_AT = 0.7
+
+
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's toxicity, from labels of documents that are not held out."""
+    docs = table(spark, sf_dir, "documents")
+    model = train(docs, table(spark, sf_dir, "labels"))
+    return score(docs, model).select(
+        "doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= TOXIC_AT).cast("int").alias("predicted"), "worst"
+    )
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint (hexadecimal) and component of every document."""
     found = near_duplicates(table(spark, sf_dir, "documents"))
@@ -140,6 +153,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_sharding": op3_sharding,
     "op4_url_filter": op4_url_filter,
     "op5_pii": op5_pii,
+    "op6_toxicity": op6_toxicity,
     "op7_simhash": op7_simhash,
     "op8_sentencepiece": op8_sentencepiece,
     "op10_line_dedup": op10_line_dedup,
