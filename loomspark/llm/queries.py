@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from loomspark.session import table
 
+from .ann import search
 from .decontamination import overlaps
 from .line_dedup import drop_spread_lines
 from .sharding import contiguous_shards
@@ -36,6 +37,12 @@ URL_RULES = (
 )
 
 
+def op1_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest vectors of every vector whose id is divisible by 20."""
+    vectors = table(spark, sf_dir, "embeddings")
+    return search(vectors, vectors.where("vec_id % 20 = 0"), k=20)
+
+
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's overlaps with items of the benchmark; documents without any have no row."""
     return overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -149,6 +156,7 @@ from documents d left join t using (doc_id)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_ann": op1_ann,
     "op2_decontamination": op2_decontamination,
     "op3_sharding": op3_sharding,
     "op4_url_filter": op4_url_filter,
