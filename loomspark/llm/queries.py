@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from loomspark.session import table
 
+from . import secrets
 from .ann import search
 from .decontamination import overlaps
 from .line_dedup import drop_spread_lines
@@ -128,6 +129,12 @@ def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in every document."""
+    forest = secrets.train(secrets.labelled_findings(spark))
+    return secrets.scan(table(spark, sf_dir, "documents"), forest)
+
+
 MIN_SITES = 5
 
 
@@ -164,6 +171,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_toxicity": op6_toxicity,
     "op7_simhash": op7_simhash,
     "op8_sentencepiece": op8_sentencepiece,
+    "op9_secrets": op9_secrets,
     "op10_line_dedup": op10_line_dedup,
 }
 ORACLES: dict[str, str] = {"op4_url_filter": OP4_SQL, "op10_line_dedup": OP10_SQL}
