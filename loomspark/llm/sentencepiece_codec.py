@@ -250,16 +250,16 @@ def codec(model_path: str) -> PrefixTableCodec:
     return PrefixTableCodec(model_path)
 
 
-def encode_decode(df: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def encode_decode(df: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text", keep_text: bool = False) -> DataFrame:
     """Encodes each whole text and decodes the ids again.
 
-    Returns id_col, ids array<int>, decoded string; one row for each input row, so repeated rows stay
+    Returns id_col, ids array<int>, decoded string, and the text with keep_text; one row for each input row, so repeated rows stay
     repeated. Null and empty texts give no ids and an empty text. Other columns are left out, so clashing
     names can't arise. No shuffle: each partition is encoded where it is read. model_path is a file that
     every worker has.
     """
-    kind = df.schema[id_col].dataType
-    schema = T.StructType([T.StructField(id_col, kind), T.StructField("ids", T.ArrayType(T.IntegerType(), False)), T.StructField("decoded", T.StringType())])
+    fields = [df.schema[id_col], T.StructField("ids", T.ArrayType(T.IntegerType(), False)), T.StructField("decoded", T.StringType())]
+    schema = T.StructType(fields + ([T.StructField(text_col, T.StringType())] if keep_text else []))
 
     def run(batches: Iterator) -> Iterator:
         import numpy as np
@@ -278,6 +278,6 @@ def encode_decode(df: DataFrame, model_path: str, id_col: str = "doc_id", text_c
                     texts.append(worker.decode_packed(parts))
                 ids = pa.array(np.frombuffer(b"".join(flat), dtype=np.int32))
                 lists = pa.ListArray.from_arrays(pa.array(sizes, pa.int32()), ids)
-                yield pa.RecordBatch.from_arrays([cut.column(0), lists, pa.array(texts, pa.string())], names=[id_col, "ids", "decoded"])
+                yield pa.RecordBatch.from_arrays([cut.column(0), lists, pa.array(texts, pa.string()), *([cut.column(1)] if keep_text else [])], names=schema.names)
 
     return df.select(id_col, text_col).mapInArrow(run, schema)

@@ -108,3 +108,17 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     table = materialize(named.join(materialize(least, "simhash-least"), "root").select("fp", "component_id"), "simhash-table")
     drop(roots)
     return prints.join(table, "fp").select(id_col, "fp", "component_id")
+
+
+def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3) -> DataFrame:
+    """df with one document of each component of :func:`near_duplicates`, the one with the smallest id.
+
+    Rows with a null id stay. Of rows that repeat an id one stays.
+    """
+    found = near_duplicates(df, id_col, text_col, words)
+    lost = materialize(found.where(F.col(id_col) != F.col("component_id")).select(F.col(id_col).alias("__lost")).distinct(), "simhash-lost")
+    out = df.join(lost, F.col(id_col) == F.col("__lost"), "left_anti")
+    repeated = found.where(F.col(id_col).isNotNull()).groupBy(id_col).count().where("count > 1")
+    if repeated.limit(1).count():
+        out = out.where(F.col(id_col).isNull()).unionByName(out.where(F.col(id_col).isNotNull()).dropDuplicates([id_col]))
+    return out

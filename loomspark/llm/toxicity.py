@@ -322,6 +322,24 @@ def train(
     return fit([(r.words, r.label) for r in sorted(rows, key=lambda r: (r.id, r.words))])
 
 
+def _scorer(model: Model):
+    """Function from texts to (probabilities, worst words), with a bounded memo of margins."""
+    known: dict[str, float] = {}
+
+    def run(texts: list[str | None]) -> tuple[np.ndarray, list[str | None]]:
+        sets = [words_of(t) for t in texts]
+        if len(known) > 400_000:
+            known.clear()
+        fresh = sorted({w for ws in sets for w in ws if w not in known})
+        for i in range(0, len(fresh), 20_000):
+            part = fresh[i : i + 20_000]
+            known.update(zip(part, model.margins(part).tolist()))
+        x = np.array([text_features([known[w] for w in ws]) for ws in sets]).reshape(len(sets), 2)
+        return model.probability(x), [max(ws, key=lambda w: (known[w], w)) if ws else None for ws in sets]
+
+    return run
+
+
 def score(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Score (0 to 1, higher: likelier toxic) and worst word of every whole text.
 
@@ -334,22 +352,29 @@ def score(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        model = shipped.value
-        known: dict[str, float] = {}
+        scorer = _scorer(shipped.value)
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 cut = batch.slice(at, 256)
-                texts = [words_of(t.as_py()) for t in cut.column(1)]
-                if len(known) > 400_000:
-                    known.clear()
-                fresh = sorted({w for ws in texts for w in ws if w not in known})
-                for i in range(0, len(fresh), 20_000):
-                    part = fresh[i : i + 20_000]
-                    known.update(zip(part, model.margins(part).tolist()))
-                x = np.array([text_features([known[w] for w in ws]) for ws in texts]).reshape(len(texts), 2)
-                worst = [max(ws, key=lambda w: (known[w], w)) if ws else None for ws in texts]
-                yield pa.RecordBatch.from_arrays(
-                    [cut.column(0), pa.array(model.probability(x), pa.float64()), pa.array(worst, pa.string())], names=[id_col, "score", "worst"]
-                )
+                scores, worst = scorer(cut.column(1).to_pylist())
+                yield pa.RecordBatch.from_arrays([cut.column(0), pa.array(scores, pa.float64()), pa.array(worst, pa.string())], names=[id_col, "score", "worst"])
 
     return df.select(id_col, text_col).mapInArrow(run, schema)
+
+
+def keep_clean(df: DataFrame, model: Model, at: float = 0.7, text_col: str = "text") -> DataFrame:
+    """Rows of df with a score below `at`, all columns kept. Null and empty texts stay. No shuffle."""
+    shipped, place = df.sparkSession.sparkContext.broadcast(model), df.columns.index(text_col)
+
+    def run(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        scorer = _scorer(shipped.value)
+        for batch in batches:
+            for start in range(0, batch.num_rows, 256):
+                cut = batch.slice(start, 256)
+                texts = cut.column(place).to_pylist()
+                scores, _ = scorer(texts)
+                yield cut.filter(pa.array([s < at or not t for s, t in zip(scores, texts)]))
+
+    return df.mapInArrow(run, df.schema)
