@@ -1,24 +1,8 @@
-"""Query catalogue: each operator applied to a whole table, with its SQL twin."""
+"""All registered queries."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from loomspark.plans import interval_queries, manifest_queries, numeric_queries, text_queries  # noqa: F401
+from loomspark.plans.registry import ORACLES, QUERIES, register
 
-from pyspark.sql import DataFrame, SparkSession
-
-Query = Callable[[SparkSession, str], DataFrame]
-
-QUERIES: dict[str, Query] = {}
-ORACLES: dict[str, str] = {}
-
-
-def register(name: str, sql: str | None = None) -> Callable[[Query], Query]:
-    """Adds a query, and its SQL where there is one."""
-
-    def keep(query: Query) -> Query:
-        QUERIES[name] = query
-        if sql:
-            ORACLES[name] = sql
-        return query
-
-    return keep
+__all__ = ["ORACLES", "QUERIES", "register"]
