@@ -17,11 +17,8 @@ _written: dict[str, SparkSession] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The shared folder: ``spark.checkpoint.dir``; a local one is set only if it is unset (tests)."""
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if not found:
-        found = "file://" + os.path.join(tempfile.gettempdir(), "loomspark-checkpoints")
-        spark.conf.set("spark.checkpoint.dir", found)
+    """The shared folder: ``spark.checkpoint.dir``; a folder of this machine only where that is unset (tests)."""
+    found = spark.conf.get("spark.checkpoint.dir", None) or f"file://{os.path.join(tempfile.gettempdir(), 'loomspark-checkpoints')}"
     return found.rstrip("/")
 
 
@@ -59,8 +56,3 @@ def _at_exit() -> None:
             _written.pop(path)
             continue
         _delete(spark, path)
-
-
-def rows_per_batch(df: DataFrame, rows: int) -> None:
-    """Bounds the rows of an Arrow batch, so that batches of very long texts fit in memory."""
-    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
