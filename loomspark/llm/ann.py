@@ -240,6 +240,8 @@ def search(
                 margin = deviations / np.sqrt(q.shape[1]) * length[:, None] * error
                 row, col = np.nonzero(near + margin >= part["floor"].to_numpy()[:, None])
                 exact = np.einsum("nd,nd->n", q[row].astype(np.float64), x[col])
+                beat = exact >= (part["floor"].to_numpy() - 1e-9 * length * length)[row]  # what the sample holds itself is a candidate anyway
+                row, col, exact = row[beat], col[beat], exact[beat]
                 order = np.lexsort((reps[col], -exact, row))
                 row, col, exact = row[order], col[order], exact[order]
                 first = np.searchsorted(row, row)  # start of each query's run
@@ -266,7 +268,7 @@ def search(
 
 
 def _query_vectors(asked: DataFrame, pack) -> DataFrame:
-    return asked.select("k1", "k2", F.col("id").alias("q"), pack("vector").alias("vec"))
+    return asked.dropDuplicates(["k1", "k2", "id"]).select("k1", "k2", F.col("id").alias("q"), pack("vector").alias("vec"))
 
 
 def _probes_needed(index_rows: DataFrame, index: Index, q: np.ndarray, keep: int, target: float) -> int:

@@ -56,3 +56,11 @@ def _at_exit() -> None:
             _written.pop(path)
             continue
         _delete(spark, path)
+
+
+def fresh(df: DataFrame, name: str) -> str:
+    """The name, or a longer one, that df has no column of."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import materialize
+from .common import fresh, materialize
 
 #: Weight 6 each; the zeros of one are ones of another.
 MASKS = ("1110111", "110101011", "1011001101")
@@ -215,6 +215,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
 
     Documents with a null id stay. Rows that share an id with a contaminated one go too.
     """
-    found = overlaps(docs, benchmark, id_col, text_col, **settings).select(F.col(id_col).alias("__leaked")).distinct()
+    name = fresh(docs, "__leaked")
+    found = overlaps(docs, benchmark, id_col, text_col, **settings).select(F.col(id_col).alias(name)).distinct()
     found = materialize(found, "leaked-ids")  # its size is known then: few ids are broadcast, many are joined by shuffle
-    return docs.join(found, F.col(id_col) == F.col("__leaked"), "left_anti")
+    return docs.join(found, F.col(id_col) == F.col(name), "left_anti")

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import materialize
+from .common import fresh, materialize
 
 BLANKS = " \t\r"
 
@@ -132,10 +132,11 @@ def _joined(df: DataFrame, found: DataFrame, id_col: str, text_col: str) -> Data
     places = places.select("id", "stamp", "at", F.xxhash64("line").alias("k1"), F.xxhash64("line", F.lit(1)).alias("k2"))
     held = places.join(found, ["k1", "k2"]).groupBy("id", "stamp", "k1", "k2", "owner").agg(F.sort_array(F.collect_set("at")).alias("all"))
     gone = F.when(F.col("owner").eqNullSafe(F.col("id")), F.slice("all", 2, F.size("all"))).otherwise(F.col("all"))
-    drops = held.groupBy(F.col("id").alias("__id"), F.col("stamp").alias("__stamp")).agg(F.flatten(F.collect_list(gone)).alias("__gone"))
-    out = df.join(materialize(drops, "line-drops"), F.col(id_col).eqNullSafe(F.col("__id")) & (stamp == F.col("__stamp")), "left")
-    none = F.coalesce(F.size("__gone"), F.lit(0)) <= 0
-    kept = F.filter(F.split(F.col(text_col), "\n"), lambda line, at: ~F.array_contains(F.col("__gone"), at))
+    own_id, own_stamp, places = (fresh(df, c) for c in ("__id", "__stamp", "__gone"))
+    drops = held.groupBy(F.col("id").alias(own_id), F.col("stamp").alias(own_stamp)).agg(F.flatten(F.collect_list(gone)).alias(places))
+    out = df.join(materialize(drops, "line-drops"), F.col(id_col).eqNullSafe(F.col(own_id)) & (stamp == F.col(own_stamp)), "left")
+    none = F.coalesce(F.size(places), F.lit(0)) <= 0
+    kept = F.filter(F.split(F.col(text_col), "\n"), lambda line, at: ~F.array_contains(F.col(places), at))
     text = F.when(none, F.col(text_col)).otherwise(F.array_join(kept, "\n"))
-    count = F.when(none, 0).otherwise(F.size("__gone")).cast("int")
+    count = F.when(none, 0).otherwise(F.size(places)).cast("int")
     return out.select(*[text.alias(c) if c == text_col else F.col(f"`{c}`") for c in df.columns], count.alias("removed_lines"))

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .components import connected_components
-from .common import drop, materialize
+from .common import drop, fresh, materialize
 
 BITS, SEGMENTS = 64, 4
 #: Twice the balls' radius.
@@ -116,8 +116,9 @@ def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", word
     Rows with a null id stay. Of rows that repeat an id one stays.
     """
     found = near_duplicates(df, id_col, text_col, words)
-    lost = materialize(found.where(F.col(id_col) != F.col("component_id")).select(F.col(id_col).alias("__lost")).distinct(), "simhash-lost")
-    out = df.join(lost, F.col(id_col) == F.col("__lost"), "left_anti")
+    name = fresh(df, "__lost")
+    lost = materialize(found.where(F.col(id_col) != F.col("component_id")).select(F.col(id_col).alias(name)).distinct(), "simhash-lost")
+    out = df.join(lost, F.col(id_col) == F.col(name), "left_anti")
     repeated = found.where(F.col(id_col).isNotNull()).groupBy(id_col).count().where("count > 1")
     if repeated.limit(1).count():
         out = out.where(F.col(id_col).isNull()).unionByName(out.where(F.col(id_col).isNotNull()).dropDuplicates([id_col]))

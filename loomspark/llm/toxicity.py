@@ -13,9 +13,11 @@ Landmarks and machine fold into one weight for each subsequence, so a word costs
 from __future__ import annotations
 
 import re
+import sys
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import lru_cache
 from heapq import nlargest
 
 import numpy as np
@@ -92,26 +94,37 @@ def dot(ids: np.ndarray, weights: np.ndarray) -> np.ndarray:
     return sum((weights[codes] * w).sum(axis=1) for codes, w in _features(ids)) / _norms(ids)
 
 
-def kernel(ids: np.ndarray, base: np.ndarray) -> np.ndarray:
-    """Normalized pieces against landmarks' profiles."""
-    used = np.nonzero(base.any(axis=0))[0]
+def kernel(ids: np.ndarray, used: np.ndarray, base: np.ndarray) -> np.ndarray:
+    """Normalized pieces against landmarks' profiles, which are given on the slots they use."""
     place = np.full(SLOTS, len(used))
     place[used] = np.arange(len(used))
-    right, out, width = np.ascontiguousarray(base[:, used].T), [], len(used) + 1
-    for at in range(0, len(ids), 500):
-        part = ids[at : at + 500]
+    right, out, width = np.ascontiguousarray(base.T), [], len(used) + 1
+    for at in range(0, len(ids), 200):
+        part = ids[at : at + 200]
         rows = np.arange(len(part))[:, None] * width
-        left = sum(np.bincount((rows + place[slots]).ravel(), w.ravel(), len(part) * width) for slots, w in _features(part))
+        left = np.zeros(len(part) * width)
+        for slots, w in _features(part):
+            left += np.bincount((rows + place[slots]).ravel(), w.ravel(), len(left))
         out.append(left.reshape(len(part), width)[:, :-1].astype(np.float32) @ right / _norms(part)[:, None])
     return np.concatenate(out)
 
 
+def landmarks_of(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(slots that the landmarks use, normalized profiles on them)."""
+    used = np.unique(np.concatenate([slots[w > 0] for slots, w in _features(ids)]))
+    out = np.zeros((len(ids), len(used)), dtype=np.float32)
+    for slots, w in _features(ids):
+        row, col = np.nonzero(w)
+        np.add.at(out, (row, np.searchsorted(used, slots[row, col])), w[row, col])
+    return used, out / _norms(ids)[:, None]
+
+
 def profile(ids: np.ndarray) -> np.ndarray:
-    """Normalized dense feature vectors, for landmarks."""
-    out = np.zeros((len(ids), SLOTS), dtype=np.float32)
-    for codes, w in _features(ids):
-        np.add.at(out, (np.arange(len(ids))[:, None], codes), w)
-    return out / _norms(ids)[:, None]
+    """Normalized feature vector of one piece, on all slots."""
+    out = np.zeros(SLOTS, dtype=np.float32)
+    for slots, w in _features(ids):
+        np.add.at(out, slots, w)
+    return out / _norms(ids)[0]
 
 
 @dataclass
@@ -184,24 +197,22 @@ def _logistic(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return w
 
 
-def _grams(word: str) -> set[str]:
+@lru_cache(maxsize=20_000)
+def _grams(word: str) -> frozenset[str]:
     """Beginnings and ends of 3 to 8 characters of a word, its edges marked."""
     word = word.strip(_STRIP)[:PIECE]
-    return {"^" + word[:n] for n in range(3, 9)} | {word[-n:] + "$" for n in range(3, 9)}
+    return frozenset({"^" + word[:n] for n in range(3, 9)} | {word[-n:] + "$" for n in range(3, 9)})
 
 
 def _telling(bad: list[list[str]], good: list[list[str]]) -> dict[str, float]:
     """Beginnings and ends of words that tell toxic texts: in 3 of them or more, and at least 25 times as likely as in clean ones."""
     in_bad, in_good = Counter(), Counter()
-    memo: dict[str, set[str]] = {}
     for count, texts in ((in_bad, bad), (in_good, good)):
         for ws in texts:
             seen: set[str] = set()
             for w in ws:
-                if w not in memo:
-                    memo[w] = _grams(w)
-                seen |= memo[w]
-            count.update(seen)
+                seen |= _grams(w)
+            count.update(seen if count is in_bad else seen & in_bad.keys())
     out = {}
     for g, p in in_bad.items():
         rate, clean = p / len(bad), (in_good[g] + 0.5) / (len(good) + 1)
@@ -256,15 +267,16 @@ def fit(texts: list[tuple[list[str], int]], rounds: int = 2, landmarks: int = LA
         half = landmarks // 2
         near = [i for i, w in enumerate(no) if w in set(hard)] or list(range(len(no)))
         pick = np.concatenate([_spread(ids_yes[::4], half, rng), _spread(ids_no[near], half, rng)])
-        base = profile(pick)
+        used, base = landmarks_of(pick)
         values, vectors = np.linalg.eigh((base @ base.T).astype(np.float64) + 1e-4 * np.eye(len(base)))
         root = vectors @ np.diag(np.maximum(values, 1e-4) ** -0.5) @ vectors.T
-        x = np.concatenate([kernel(ids_yes, base), kernel(ids_no, base)]) @ root
+        x = np.concatenate([kernel(ids_yes, used, base), kernel(ids_no, used, base)]) @ root
         y = np.concatenate([np.ones(len(ids_yes)), -np.ones(len(ids_no))])
         many = np.repeat([np.sqrt(worst[w]) for w in yes], 4)
         weight = np.concatenate([many * len(ids_no) / many.sum(), np.ones(len(ids_no))])
         beta, bias = _machine(x, y, weight)
-        model.weights, model.bias = ((root @ beta) @ base).astype(np.float32), bias
+        model.weights, model.bias = np.zeros(SLOTS, dtype=np.float32), bias
+        model.weights[used] = (root @ beta) @ base
         every = sorted({*in_bad, *in_good})
         margin = dict(zip(every, model.margins(every).tolist()))
         hard = sorted({*hard, *sorted(in_good, key=lambda w: (-margin[w], w))[:600]})
@@ -285,7 +297,7 @@ def _spread(ids: np.ndarray, count: int, rng: np.random.Generator) -> np.ndarray
     for _ in range(count):
         k = int(rng.choice(len(ids), p=near / near.sum()))
         chosen.append(k)
-        near = np.minimum(near, np.maximum(2 - 2 * dot(ids, profile(ids[k : k + 1])[0]), 1e-9))
+        near = np.minimum(near, np.maximum(2 - 2 * dot(ids, profile(ids[k : k + 1])), 1e-9))
     return ids[chosen]
 
 
@@ -318,8 +330,9 @@ def train(
             found = [sorted(words_of(t.as_py())) for t in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(found, pa.list_(pa.string()))], names=["id", "label", "words"])
 
-    rows = texts.select("id", "text", "label").mapInArrow(run, schema).collect()
-    return fit([(r.words, r.label) for r in sorted(rows, key=lambda r: (r.id, r.words))])
+    rows = texts.select("id", "text", "label").mapInArrow(run, schema)
+    found = [(r.id, [sys.intern(w) for w in r.words], r.label) for r in rows.toLocalIterator()]
+    return fit([(words, label) for _, words, label in sorted(found)])
 
 
 def _scorer(model: Model):
