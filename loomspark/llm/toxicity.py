@@ -140,6 +140,8 @@ class Model:
         """Margin of each word: that of its worst piece."""
         if self.weights is None or not words:
             return np.full(len(words), FLOOR)
+        if len(words) > 4000:  # a part at a time, so that the subsequences stay small in memory
+            return np.concatenate([self.margins(words[i : i + 4000]) for i in range(0, len(words), 4000)])
         # A word also counts without the marks between its letters.
         bare = [(i, b) for i, w in enumerate(words) if (b := "".join(c for c in w.strip(_STRIP) if c.isalnum())) != w.strip(_STRIP)]
         ids, owner = _ids([*words, *(b for _, b in bare)])
@@ -208,6 +210,9 @@ def _telling(bad: list[list[str]], good: list[list[str]]) -> dict[str, float]:
     """Beginnings and ends of words that tell toxic texts: in 3 of them or more, and at least 25 times as likely as in clean ones."""
     in_bad, in_good = Counter(), Counter()
     for count, texts in ((in_bad, bad), (in_good, good)):
+        if count is in_good:  # only what may tell is worth counting in clean texts
+            for g in [g for g, n in in_bad.items() if n < 3]:
+                del in_bad[g]
         for ws in texts:
             seen: set[str] = set()
             for w in ws:
@@ -215,8 +220,10 @@ def _telling(bad: list[list[str]], good: list[list[str]]) -> dict[str, float]:
             count.update(seen if count is in_bad else seen & in_bad.keys())
     out = {}
     for g, p in in_bad.items():
+        if p < 3:
+            continue
         rate, clean = p / len(bad), (in_good[g] + 0.5) / (len(good) + 1)
-        if p >= 3 and rate >= 25 * clean or p >= 3 and in_good[g] == 0 and p * len(good) >= 12 * len(bad):
+        if rate >= 25 * clean or in_good[g] == 0 and p * len(good) >= 12 * len(bad):
             out[g] = p * float(np.log(rate / clean))
     return out
 
@@ -241,6 +248,7 @@ def fit(texts: list[tuple[list[str], int]], rounds: int = 2, landmarks: int = LA
     if not bad or not good:
         return Model(prior=float(np.mean([y for _, y in texts])) if texts else 0.0)
     telling = _telling(bad, good)
+    _grams.cache_clear()
     in_bad, in_good = Counter(w for ws in bad for w in ws), Counter(w for ws in good for w in ws)
     memo: dict[str, float] = {}
 
@@ -280,6 +288,7 @@ def fit(texts: list[tuple[list[str], int]], rounds: int = 2, landmarks: int = LA
         every = sorted({*in_bad, *in_good})
         margin = dict(zip(every, model.margins(every).tolist()))
         hard = sorted({*hard, *sorted(in_good, key=lambda w: (-margin[w], w))[:600]})
+    del memo, telling
     words = sorted({w for ws, _ in rest for w in ws} - margin.keys())
     margin.update(zip(words, model.margins(words).tolist()))
     x = np.array([text_features([margin[w] for w in ws]) for ws, _ in rest])
