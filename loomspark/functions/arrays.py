@@ -74,9 +74,14 @@ def flattening_point(x: Column, window: int = 20, flat: float = 0.05, level: flo
 
     def fits(i: Column) -> Column:
         part = F.slice(long, i + 1, window)
-        mean = total(part) / window
-        spread = F.aggregate(part, F.lit(0.0), lambda a, v: a + (v - mean) * (v - mean)) / window
-        return (F.sqrt(spread) < flat) & (F.abs(mean - target) < level)
+        fine = F.aggregate(
+            part,
+            F.struct(F.lit(0.0).alias("s"), F.lit(0.0).alias("q")),
+            lambda a, v: F.struct((a["s"] + v).alias("s"), (a["q"] + v * v).alias("q")),
+            # The deviation from the mean square; one pass over the window.
+            lambda a: (F.sqrt(F.greatest(a["q"] / window - (a["s"] / window) * (a["s"] / window), F.lit(0.0))) < flat) & (F.abs(a["s"] / window - target) < level),
+        )
+        return fine
 
     hits = F.filter(F.sequence(F.lit(0), F.greatest(n - 1, F.lit(0))), fits)
     return F.when(n == 0, 0).otherwise(F.coalesce(F.get(hits, F.lit(0)), n)).cast("int")

@@ -138,3 +138,40 @@ def smoothed_mean(frames: DataFrame, keys: list[str], kernel: int) -> DataFrame:
     left = F.greatest(F.lit(half) - F.col("idx"), F.lit(0)) * F.first("value").over(whole)
     right = F.greatest(F.col("idx") + half - (F.count("*").over(own) - 1), F.lit(0)) * F.last("value").over(whole)
     return frames.withColumn("smooth", (F.sum("value").over(frame) + left + right) / kernel)
+
+
+def collapsed_peaks(peaks: DataFrame, keys: list[str], radius: int) -> DataFrame:
+    """Of peaks within the radius of the last kept one, the higher stays (the earlier, up to 1e-9). peaks: keys, idx, value.
+
+    Peaks further apart than the radius never meet, so the fold runs on runs of near peaks.
+    """
+    window = Window.partitionBy(*keys).orderBy("idx")
+    fresh = F.when(F.coalesce(F.col("idx") - F.lag("idx").over(window), F.lit(radius + 1)) > radius, 1).otherwise(0)
+    runs = peaks.withColumn("fresh", fresh).withColumn("run", F.sum("fresh").over(window.rowsBetween(Window.unboundedPreceding, 0)))
+    parts = runs.groupBy(*keys, "run").agg(F.array_sort(F.collect_list(F.struct(F.col("idx").cast("int").alias("idx"), F.col("value").cast("double").alias("value")))).alias("parts"))
+
+    def step(acc: Column, x: Column) -> Column:
+        last = F.get(acc, F.size(acc) - 1)
+        far = (F.size(acc) == 0) | (x["idx"] - last["idx"] > radius)
+        higher = x["value"] > last["value"] + 1e-9
+        swapped = F.concat(F.slice(acc, 1, F.greatest(F.size(acc) - 1, F.lit(0))), F.array(x))
+        return F.when(far, F.concat(acc, F.array(x))).when(higher, swapped).otherwise(acc)
+
+    empty = F.array().cast("array<struct<idx:int,value:double>>")
+    return parts.select(*keys, F.explode(F.aggregate("parts", empty, step)).alias("p")).select(*keys, "p.idx", "p.value")
+
+
+def context_step(frames: DataFrame, keys: list[str], context: int) -> DataFrame:
+    """frames (keys, idx from 0, value) with `step`: the distance of the means over `context` frames before and from each frame on; 0 near the ends."""
+    own = Window.partitionBy(*keys)
+    order = own.orderBy("idx")
+    left, right = F.avg("value").over(order.rowsBetween(-context, -1)), F.avg("value").over(order.rowsBetween(0, context - 1))
+    inside = (F.col("idx") >= context) & (F.col("idx") < F.count("*").over(own) - context)
+    return frames.withColumn("step", F.when(inside, F.abs(left - right)).otherwise(F.lit(0.0)))
+
+
+def positive_flux(frames: DataFrame, keys: list[str], spectrum: str = "spectrum") -> DataFrame:
+    """frames (keys, idx, an array) with `flux`: the length of the growth since the frame before; 0 for the first."""
+    last = F.lag(spectrum).over(Window.partitionBy(*keys).orderBy("idx"))
+    growth = F.zip_with(F.col(spectrum), last, lambda a, b: F.greatest(a.cast("double") - b.cast("double"), F.lit(0.0)))
+    return frames.withColumn("flux", F.coalesce(F.sqrt(F.aggregate(growth, F.lit(0.0), lambda s, v: s + v * v)), F.lit(0.0)))

@@ -130,6 +130,32 @@ def replicate_pool_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
     return V.smoothed_mean(frames(spark, sf_dir), ["vec_id"], 7).select("vec_id", "idx", (F.round("smooth", 5) + 0.0).alias("smooth"))
 
 
+@register("collapsed_peaks")
+def collapsed_peaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    peaks = V.local_peaks(frames(spark, sf_dir), ["vec_id"], 3, F.lit(0.0))
+    return V.collapsed_peaks(peaks, ["vec_id"], 5)
+
+
+@register(
+    "context_step",
+    f"""with f as ({_FRAMES}), w as (select *, avg(value) over (partition by vec_id order by idx rows between 6 preceding and 1 preceding) as l,
+  avg(value) over (partition by vec_id order by idx rows between current row and 5 following) as r, count(*) over (partition by vec_id) as n from f)
+select vec_id, cast(idx as integer) as idx, round(case when idx >= 6 and idx < n - 6 then abs(l - r) else 0 end, 6) as step from w""",
+)
+def context_step(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return V.context_step(frames(spark, sf_dir), ["vec_id"], 6).select("vec_id", "idx", F.round("step", 6).alias("step"))
+
+
+@register(
+    "positive_flux",
+    """with f as (select label, vec_id as idx, list_transform(embedding[1:8], lambda x: x::double) as s, lag(list_transform(embedding[1:8], lambda x: x::double)) over (partition by label order by vec_id) as p from embeddings)
+select label, idx, round(coalesce(sqrt(list_sum(list_transform(list_zip(s, p), lambda z: power(greatest(z[1] - z[2], 0), 2)))), 0), 6) as flux from f""",
+)
+def positive_flux(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings").select("label", F.col("vec_id").alias("idx"), F.slice("embedding", 1, 8).alias("spectrum"))
+    return V.positive_flux(rows, ["label"]).select("label", "idx", F.round("flux", 6).alias("flux"))
+
+
 @register("fragment_segmentation")
 def fragment_segmentation(spark: SparkSession, sf_dir: str) -> DataFrame:
     from loomspark.operators.segmentation import segment_frames

@@ -10,6 +10,7 @@ from loomspark.operators import metrics as K
 from loomspark.operators import review as R
 from loomspark.operators import sampling as S
 from loomspark.operators import timeline as L
+from loomspark.operators import transcripts as T
 from loomspark.plans.registry import register
 from loomspark.session import table
 
@@ -264,3 +265,50 @@ def label_join_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "documents").select("doc_id", "lang").join(table(spark, sf_dir, "labels"), "doc_id", "left")
     quality = F.coalesce(F.col("quality").cast("string"), F.lit("__none__")).alias("quality")
     return rows.groupBy("lang", quality).agg(F.count("*").alias("docs"), F.count("toxic").alias("labelled"), F.count_if(F.col("toxic") == 1).alias("toxic"))
+
+
+def _streams(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").withColumn("id", F.concat_ws("-", "conv_id", "turn")).withColumn("row_index", F.col("turn"))
+    turns = turns.withColumn("source_uid", T.source_uid(F.lit(None).cast("string"), F.concat(F.lit("Conv\\"), "conv_id")))
+    turns = turns.withColumn("start", F.when(F.col("turn") % 4 < 3, F.col("turn").cast("string")).otherwise("x")).withColumn("end", F.lit(None).cast("string"))
+    speech = turns.where("role = 'user'").select("id", "row_index", "source_uid", "start", "end", F.lit(None).cast("string").alias("asr_text_raw"), "text", F.lit("").alias("asr_backend"))
+    other = turns.where("role <> 'user'").select("id", "row_index", "source_uid", "start", "end", F.col("text").alias("transcript_text_raw"), F.lit("").alias("transcript_text"), F.lit("own").alias("transcript_backend"))
+    return T.timeline_rows(speech, other)
+
+
+@register(
+    "timeline_rows",
+    """select case when role = 'user' then 'speech' else 'nonverbal' end as kind, conv_id || '-' || turn as id, 'path:conv/' || conv_id as source_uid,
+  case when turn % 4 < 3 then turn::double else 1e12 + turn end as "start", case when role = 'user' then 'grok-stt' else 'own' end as backend from conversations where coalesce(trim(text), '') <> ''""",
+)
+def timeline_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _streams(spark, sf_dir).select("kind", "id", "source_uid", "start", "backend")
+
+
+@register(
+    "proposal_checks",
+    """select id, problem from (select conv_id || '-' || turn as id, case when turn % 6 = 0 then 'missing' when turn % 6 = 1 then 'duplicate'
+  when turn % 6 = 2 then 'bad_status' when turn % 6 = 3 then 'bad_category' end as problem from conversations) where problem is not null""",
+)
+def proposal_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").withColumn("id", F.concat_ws("-", "conv_id", "turn"))
+    status = F.when(F.col("turn") % 6 == 2, "odd").otherwise("unchanged")
+    category = F.when(F.col("turn") % 6 == 3, "odd").otherwise("speech")
+    made = turns.where("turn % 6 <> 0").select("id", "turn", status.alias("status"), category.alias("category"))
+    made = made.unionByName(made.where("turn % 6 = 1"))
+    return T.check_proposals(turns, made, ["unchanged", "corrected", "uncertain"], ["speech", "other"])
+
+
+@register(
+    "correction_rollup",
+    """select kind, outcome, force_review, count(*) as items from (select case when role = 'user' then 'speech' else 'nonverbal' end as kind,
+  case when turn % 3 = 0 then 'missing' when turn % 3 = 1 then 'unchanged' else 'accepted' end as outcome, turn % 3 = 1 and role = 'user' as force_review
+  from conversations where length(text) > 40) group by all""",
+)
+def correction_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _streams(spark, sf_dir).join(table(spark, sf_dir, "conversations").where(F.length("text") > 40).select(F.concat_ws("-", "conv_id", "turn").alias("id"), "turn"), "id")
+    made = rows.where("turn % 3 <> 0").select(
+        "id", F.when(F.col("turn") % 3 == 1, F.col("text")).otherwise(F.concat(F.col("text"), F.lit("!"))).alias("corrected_text"), F.lit("corrected").alias("status"),
+        F.when(F.col("turn") % 3 == 1, "other").otherwise("speech").alias("category"),
+    )
+    return T.resolve(rows.drop("turn"), made).groupBy("kind", "outcome", "force_review").agg(F.count("*").alias("items"))

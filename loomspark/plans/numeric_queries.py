@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from loomspark.functions import arrays as A
+from loomspark.functions import schedules as C
 from loomspark.operators import metrics as K
 from loomspark.plans.registry import register
 from loomspark.session import table
@@ -157,3 +158,19 @@ def padded_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
 def pricing_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "lineitem").where("l_shipdate <= TIMESTAMP_NTZ'1998-09-02 00:00:00'")
     return rows.groupBy("l_returnflag", "l_linestatus").agg(F.count("*").alias("n"), F.round(F.sum(F.col("l_extendedprice") * (1 - F.col("l_discount"))), 2).alias("revenue"))
+
+
+@register(
+    "time_schedules",
+    """select i as step, round(greatest(0, least(1, u + 0.5 * (cos(pi() / 2 * u) + u - 1))) * 0.999, 6) as sway,
+  round((((1 - u) * (1 - u) / (u * u) * 0.25 + 1) / ((1 - u) * (1 - u) / (u * u) * 0.25 / 1.5 + 1) * ((1 - u) * 0.3 + 0.7) - 0.7) / (1 - u), 6) as rescaled,
+  printf('rank01_%08d.pt', i) as latent, cast(case when i % 7 = 0 then 64 else least(i, 64) end as bigint) as length
+from (select i, i / 100.0::double as u from range(1, 100) t(i))""",
+)
+def time_schedules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = spark.range(1, 100).select(F.col("id").alias("step"), (F.col("id") / 100.0).alias("u"))
+    frames = F.when(F.col("step") % 7 == 0, -1).otherwise(F.col("step"))
+    return rows.select(
+        "step", F.round(A.sway(F.col("u"), 0.5), 6).alias("sway"), F.round(C.score_rescaled(F.lit(0.3), F.lit(0.7), F.col("u"), 1.5, 0.5), 6).alias("rescaled"),
+        C.latent_name(F.col("step"), 1, 4).alias("latent"), C.sample_length(frames, 64).cast("long").alias("length"),
+    )

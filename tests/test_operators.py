@@ -219,3 +219,43 @@ def test_streaming_sessions(spark, tmp_path):
         assert query.awaitTermination(120)
     assert spark.table("gap").where("parts = 2").count() == 1
     assert [(r.parts) for r in spark.table("packed").orderBy("start").collect()][:2] == [2, 1]
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_collapsed_peaks_are_the_loop(spark, seed):
+    rng = random.Random(seed)
+    rows = [(1, i, float(rng.randint(0, 4))) for i in sorted(rng.sample(range(200), 70))]
+    kept = []
+    for _, i, v in rows:
+        if not kept or i - kept[-1][0] > 4:
+            kept.append((i, v))
+        elif v > kept[-1][1] + 1e-9:
+            kept[-1] = (i, v)
+    got = V.collapsed_peaks(spark.createDataFrame(rows, "k int, idx int, value double"), ["k"], 4)
+    assert sorted((r.idx, r.value) for r in got.collect()) == kept
+
+
+def test_schedules(spark):
+    from loomspark.functions import schedules as C
+
+    assert C.ranked_path("a/b.jsonl", 3, 4) == "a/b.rank03.jsonl" and C.ranked_path("a/b", 0, 200) == "a/b.rank000" and C.ranked_path("x", 0, 1) == "x"
+    assert C.guidance_scales("joint", 1, 1, 5, use_speaker=False)[:3] == (1.0, 1.0, 0.0)
+    with pytest.raises(ValueError):
+        C.guidance_scales("joint", 1, 1, 5)
+    assert C.batches_per_epoch(10, 3, 2, True) == 1 and C.batches_per_epoch(10, 3, 2, False) == 2
+    df = spark.createDataFrame([(0, [" a ", ""]), (1, None), (2, ["x", "y"])], "i int, c array<string>")
+    got = {r.i: r.p for r in df.select("i", C.pick_caption(F.col("c"), F.col("i"), 1).alias("p")).collect()}
+    assert got[0] == "a" and got[1] is None and got[2] in ("x", "y")
+    times = [r.t for r in spark.range(64).select(C.stratified_time(F.col("id"), F.lit(0.5), 64).alias("t")).collect()]
+    assert times == sorted(times) and abs(sum(times) / 64 - 0.5) < 1e-6
+
+
+def test_failed_batches_block_publishing(spark):
+    from loomspark.operators.transcripts import finite, refuse_failures
+
+    batches = spark.createDataFrame([("ok",), ("failed",)], "status string")
+    refuse_failures(batches, allow=True)
+    with pytest.raises(ValueError):
+        refuse_failures(batches)
+    df = spark.createDataFrame([("1.5",), ("nan",), ("x",), (None,), ("inf",)], "v string")
+    assert [r[0] for r in df.select(finite(F.col("v"), F.lit(-1.0))).collect()] == [1.5, -1.0, -1.0, -1.0, -1.0]
