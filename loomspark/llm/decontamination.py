@@ -67,7 +67,7 @@ class SeedIndex:
         import numpy as np
 
         words, known = re.findall(WORD, (text or "").lower()), self.words
-        if len(known) > 500_000:
+        if len(known) > 200_000:
             known.clear()
         return np.fromiter(map(known.__getitem__, words), dtype=np.uint64, count=len(words))
 

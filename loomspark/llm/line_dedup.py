@@ -116,11 +116,13 @@ def _inline(df: DataFrame, found: DataFrame, id_col: str, text_col: str) -> Data
 
         at_text, at_id = names.index(text_col), names.index(id_col)
         for batch in batches:
-            done = [clean(t, i) for t, i in zip(batch.column(at_text).to_pylist(), batch.column(at_id).to_pylist())]
-            columns = list(batch.columns)
-            columns[at_text] = pa.array([t for t, _ in done], pa.string())
-            columns.append(pa.array([n for _, n in done], pa.int32()))
-            yield pa.RecordBatch.from_arrays(columns, names=[*names, "removed_lines"])
+            for start in range(0, batch.num_rows, 256):
+                cut = batch.slice(start, 256)
+                done = [clean(t, i) for t, i in zip(cut.column(at_text).to_pylist(), cut.column(at_id).to_pylist())]
+                columns = list(cut.columns)
+                columns[at_text] = pa.array([t for t, _ in done], pa.string())
+                columns.append(pa.array([n for _, n in done], pa.int32()))
+                yield pa.RecordBatch.from_arrays(columns, names=[*names, "removed_lines"])
 
     return df.mapInArrow(run, schema)
 

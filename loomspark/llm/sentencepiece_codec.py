@@ -20,6 +20,7 @@ from array import array
 from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import islice
 
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
@@ -31,7 +32,7 @@ _NORMAL, _BYTE, _USER = 1, 6, 4
 class PrefixTableCodec:
     """Encoder and decoder for a merge-type (BPE) sentencepiece model with byte fallback."""
 
-    def __init__(self, model_path: str, memo_entries: int = 250_000):
+    def __init__(self, model_path: str, memo_entries: int = 150_000, core_entries: int = 40_000):
         import ahocorasick
         from sentencepiece import sentencepiece_model_pb2
 
@@ -44,7 +45,7 @@ class PrefixTableCodec:
         if spec.precompiled_charsmap or spec.remove_extra_whitespaces or not spec.escape_whitespaces:
             raise ValueError("only an identity normalizer that keeps white space is supported")
         self.dummy_prefix = spec.add_dummy_prefix
-        self.memo_entries = memo_entries
+        self.memo_entries, self.core_entries = memo_entries, core_entries
         self.pieces = [p.piece for p in model.pieces]
         self.ids, self.scores, self.bytes, self.chars = {}, {}, {}, set()
         self.automaton = ahocorasick.Automaton()
@@ -73,6 +74,7 @@ class PrefixTableCodec:
         self._encoded_before: dict[str, bytes] = {}
         self._decoded: dict[bytes, str] = {}
         self._decoded_before: dict[bytes, str] = {}
+        self._core: tuple[dict[str, bytes], dict[bytes, str]] | None = None
 
     def merged(self, text: str) -> list[str]:
         """The encoding of a short text by repeated best merges; the definition that pairs are tested with."""
@@ -199,6 +201,13 @@ class PrefixTableCodec:
             self._encoded[part] = packed
         return packed
 
+    def rest(self) -> None:
+        """Forgets all parts but those learned first, which are the frequent ones; for a worker that may idle between tasks."""
+        if self._core is None:
+            self._core = tuple(dict(islice(d.items(), self.core_entries)) for d in (self._encoded_before or self._encoded, self._decoded_before or self._decoded))
+        self._encoded, self._decoded = dict(self._core[0]), dict(self._core[1])
+        self._encoded_before, self._decoded_before = {}, {}
+
     def encode_packed(self, text: str | None) -> list[bytes]:
         """Ids of a text, part by part, as 32-bit integers; none for null or empty text."""
         if not text:
@@ -279,5 +288,6 @@ def encode_decode(df: DataFrame, model_path: str, id_col: str = "doc_id", text_c
                 ids = pa.array(np.frombuffer(b"".join(flat), dtype=np.int32))
                 lists = pa.ListArray.from_arrays(pa.array(sizes, pa.int32()), ids)
                 yield pa.RecordBatch.from_arrays([cut.column(0), lists, pa.array(texts, pa.string()), *([cut.column(1)] if keep_text else [])], names=schema.names)
+        worker.rest()
 
     return df.select(id_col, text_col).mapInArrow(run, schema)

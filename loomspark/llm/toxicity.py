@@ -58,7 +58,6 @@ def _ids(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Character classes of the words' pieces (0: none), and the word of each piece."""
     pieces, owner = [], []
     for i, w in enumerate(words):
-        w = w.strip(_STRIP)
         for at in range(0, max(1, len(w) - 4), PIECE - 4):
             pieces.append(w[at : at + PIECE])
             owner.append(i)
@@ -138,16 +137,23 @@ class Model:
 
     def margins(self, words: list[str]) -> np.ndarray:
         """Margin of each word: that of its worst piece."""
-        if self.weights is None or not words:
-            return np.full(len(words), FLOOR)
-        if len(words) > 4000:  # a part at a time, so that the subsequences stay small in memory
-            return np.concatenate([self.margins(words[i : i + 4000]) for i in range(0, len(words), 4000)])
-        # A word also counts without the marks between its letters.
-        bare = [(i, b) for i, w in enumerate(words) if (b := "".join(c for c in w.strip(_STRIP) if c.isalnum())) != w.strip(_STRIP)]
-        ids, owner = _ids([*words, *(b for _, b in bare)])
-        owner = np.concatenate([np.arange(len(words)), [i for i, _ in bare]]).astype(np.int64)[owner]
         out = np.full(len(words), FLOOR)
-        np.maximum.at(out, owner, np.clip(dot(ids, self.weights) + self.bias, FLOOR, -FLOOR))
+        if self.weights is None:
+            return out
+        # Words of like length together, some at a time: little padding, little memory.
+        order = sorted(range(len(words)), key=lambda i: len(words[i]))
+        for at in range(0, len(order), 4000):
+            part = order[at : at + 4000]
+            forms, owner = [], []
+            for i in part:
+                w = words[i].strip(_STRIP)
+                forms.append(w)
+                owner.append(i)
+                if not w.isalnum() and (bare := "".join(c for c in w if c.isalnum())):
+                    forms.append(bare)  # a word also counts without the marks between its letters
+                    owner.append(i)
+            ids, piece_of = _ids(forms)
+            np.maximum.at(out, np.array(owner)[piece_of], np.clip(dot(ids, self.weights) + self.bias, FLOOR, -FLOOR))
         return out
 
     def probability(self, features: np.ndarray) -> np.ndarray:
@@ -347,15 +353,22 @@ def train(
 def _scorer(model: Model):
     """Function from texts to (probabilities, worst words), with a bounded memo of margins."""
     known: dict[str, float] = {}
+    older: dict[str, float] = {}
 
     def run(texts: list[str | None]) -> tuple[np.ndarray, list[str | None]]:
+        nonlocal known, older
         sets = [words_of(t) for t in texts]
-        if len(known) > 400_000:
-            known.clear()
-        fresh = sorted({w for ws in sets for w in ws if w not in known})
-        for i in range(0, len(fresh), 20_000):
-            part = fresh[i : i + 20_000]
-            known.update(zip(part, model.margins(part).tolist()))
+        if len(known) > 150_000:  # the older half goes
+            known, older = {}, known
+        fresh = set().union(*sets) - known.keys()
+        known.update((w, older[w]) for w in fresh & older.keys())
+        bare: dict[str, list[str]] = {}
+        for w in fresh - older.keys():
+            bare.setdefault(w.strip(_STRIP), []).append(w)
+        forms = sorted(bare)
+        for form, margin in zip(forms, model.margins(forms).tolist()):
+            for w in bare[form]:
+                known[w] = margin
         x = np.array([text_features([known[w] for w in ws]) for ws in sets]).reshape(len(sets), 2)
         return model.probability(x), [max(ws, key=lambda w: (known[w], w)) if ws else None for ws in sets]
 
