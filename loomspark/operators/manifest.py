@@ -11,23 +11,21 @@ from pyspark.sql import functions as F
 def merge(parts: dict[str, DataFrame], required: list[str], unique: list[str]) -> DataFrame:
     """Union of manifests by name, with the origin of each row.
 
-    A missing required value, and a non-empty unique value that occurs twice, fail the job when it runs,
-    with the value in the message. Extra columns pass through; those that a part lacks are null.
+    A missing required value fails the job when it runs, with the origin in the message. A non-empty unique
+    value that occurs twice is refused at once: one aggregation over that column alone, so whole rows are never
+    shuffled. Extra columns pass through; those that a part lacks are null.
     """
     if not parts:
         raise ValueError("no input")
     tagged = [df.withColumn("manifest", F.lit(name)) for name, df in parts.items()]
     out = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tagged)
+    for column in unique:
+        copies = out.where(F.coalesce(F.col(column).cast("string"), F.lit("")) != "").groupBy(column).agg(F.count("*").alias("n"), F.collect_set("manifest").alias("where"))
+        if found := copies.where("n > 1").limit(1).collect():
+            raise ValueError(f"duplicate {column}: {found[0][column]} in {', '.join(sorted(found[0]['where']))}")
     for column in required:
         fine = F.col(column).isNotNull() & (F.col(column).cast("string") != "")
         out = out.withColumn(column, F.when(fine, F.col(column)).otherwise(F.raise_error(F.concat(F.lit(f"missing {column} in "), F.col("manifest"))).cast(out.schema[column].dataType)))
-    for column in unique:
-        copies = F.count("*").over(Window.partitionBy(column))
-        bad = F.col(column).isNotNull() & (F.col(column).cast("string") != "") & (F.col("__copies") > 1)
-        out = out.withColumn("__copies", copies).withColumn(
-            column, F.when(bad, F.raise_error(F.concat(F.lit(f"duplicate {column}: "), F.col(column).cast("string"))).cast(out.schema[column].dataType)).otherwise(F.col(column))
-        )
-        out = out.drop("__copies")
     return out
 
 

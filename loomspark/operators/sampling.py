@@ -44,24 +44,36 @@ def row_split(df: DataFrame, key: str, ratio: float, seed: int) -> DataFrame:
 def group_split(df: DataFrame, key: str, group: str, ratio: float, seed: int) -> DataFrame:
     """df with `part`: whole groups are valid, in seeded order, until the target is reached.
 
-    A group that would leave no training row is passed over. Rows without a group are groups of one. The fold over groups
-    runs on (group, size) pairs: where sizes' running sum first reaches the target the fold ends, so only the
-    groups up to there, in seeded order, are looked at.
+    A group that would leave no training row is passed over. Rows without a group are groups of one.
+    Sizes before each group come from bucket totals and running sums within buckets. Only groups larger than all that
+    may stay out of the valid part (fewer than 1 / (1 - ratio)) can be passed over; the driver decides on those alone.
     """
+    if not 0 < ratio <= 0.99:
+        raise ValueError("the ratio must be over 0 and at most 0.99")
     n = df.count()
     target = min(max(1, int(n * ratio)), n - 1)
     name = F.coalesce(F.concat(F.lit("g"), F.col(group).cast("string")), F.concat(F.lit("r"), F.col(key).cast("string")))
     tagged = df.withColumn("__g", name)
     sizes = tagged.groupBy("__g").agg(F.count("*").alias("size")).withColumn("__d", draw(seed, F.col("__g")))
-    chosen, total = [], 0
-    for row in sizes.orderBy("__d", "__g").toLocalIterator():
-        if total >= target:
-            break
-        if total + row.size > n - 1:
-            continue
-        chosen.append(row["__g"])
-        total += row.size
-    picked = df.sparkSession.createDataFrame([(g,) for g in chosen], "__g string").withColumn("__v", F.lit(True))
+    usual = sizes.where(F.col("size") <= n - target)
+    taken: list[tuple[str, str, int]] = []
+    for big in sizes.where(F.col("size") > n - target).orderBy("__d", "__g").collect():
+        at = (F.col("__d") < big["__d"]) | ((F.col("__d") == big["__d"]) & (F.col("__g") < big["__g"]))
+        before = (usual.where(at).agg(F.sum("size")).first()[0] or 0) + sum(s for _, _, s in taken)
+        if before < target and before + big["size"] <= n - 1:
+            taken.append((big["__d"], big["__g"], big["size"]))
+
+    cut = usual.withColumn("__b", F.conv(F.substring("__d", 1, 3), 16, 10).cast("int"))
+    totals = cut.groupBy("__b").agg(F.sum("size").alias("n"))
+    earlier = F.coalesce(F.sum("n").over(Window.partitionBy(F.lit(0)).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    offsets = F.broadcast(totals.select("__b", earlier.alias("__o")))  # 4096 rows at most
+    within = F.coalesce(F.sum("size").over(Window.partitionBy("__b").orderBy("__d", "__g").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    before = F.col("__o") + F.col("__w")
+    for d, _, size in taken:
+        before = before + F.when(F.col("__d") > d, F.lit(size)).otherwise(F.lit(0))
+    picked = cut.withColumn("__w", within).join(offsets, "__b").where(before < target).select("__g", F.lit(True).alias("__v"))
+    if taken:
+        picked = picked.unionByName(df.sparkSession.createDataFrame([(g, True) for _, g, _ in taken], "__g string, __v boolean"))
     return tagged.join(picked, "__g", "left").withColumn("part", F.when(F.col("__v"), "valid").otherwise("train")).drop("__g", "__v")
 
 

@@ -1,3 +1,4 @@
+import hashlib
 import random
 
 import pytest
@@ -107,8 +108,8 @@ def test_context_windows_are_the_slices(spark):
 def test_merge_refuses_copies_and_gaps(spark):
     a = spark.createDataFrame([("x", "t")], "id string, text string")
     assert M.merge({"a": a, "b": a.withColumn("id", F.lit("y"))}, ["text"], ["id"]).count() == 2
-    with pytest.raises(PySparkException, match="duplicate id"):
-        M.merge({"a": a, "b": a}, ["text"], ["id"]).collect()
+    with pytest.raises(ValueError, match="duplicate id: x in a, b"):
+        M.merge({"a": a, "b": a}, ["text"], ["id"])
     with pytest.raises(PySparkException, match="missing text"):
         M.merge({"a": a.withColumn("text", F.lit(""))}, ["text"], []).collect()
     with pytest.raises(ValueError):
@@ -134,6 +135,15 @@ def test_shards_and_order(spark):
 def test_splits_are_exact(spark):
     df = spark.range(1000).select("id", F.when(F.col("id") < 900, F.lit("big")).otherwise(F.col("id").cast("string")).alias("g"))
     assert {r.part: r["count"] for r in S.row_split(df, "id", 0.1, 1).groupBy("part").count().collect()} == {"valid": 100, "train": 900}
+    for seed, ratio in ((3, 0.05), (4, 0.3), (5, 0.7)):
+        made = S.group_split(df, "id", "g", ratio, seed)
+        sizes = {r["__g"]: r["n"] for r in df.withColumn("__g", F.concat(F.lit("g"), "g")).groupBy("__g").agg(F.count("*").alias("n")).collect()}
+        chosen, total, target = set(), 0, int(1000 * ratio)
+        for g in sorted(sizes, key=lambda g: hashlib.md5(f"{seed}:{g}".encode()).hexdigest()):
+            if total < target and total + sizes[g] <= 999:
+                chosen.add(g[1:])
+                total += sizes[g]
+        assert {r.g for r in made.where("part = 'valid'").select("g").distinct().collect()} == chosen
     parts = S.group_split(df, "id", "g", 0.05, 3)
     assert parts.groupBy("g").agg(F.countDistinct("part").alias("n")).where("n > 1").count() == 0
     assert parts.where("part = 'train'").count() > 0
