@@ -115,7 +115,14 @@ def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", word
 
     Rows with a null id stay. Of rows that repeat an id one stays.
     """
-    found = near_duplicates(df, id_col, text_col, words)
+    return kept(df, near_duplicates(df, id_col, text_col, words), id_col)
+
+
+def kept(df: DataFrame, found: DataFrame, id_col: str) -> DataFrame:
+    """df without the documents of found (id_col, component_id) that their component isn't named by.
+
+    Rows with a null id stay. Of rows that repeat an id one stays.
+    """
     name = fresh(df, "__lost")
     lost = materialize(found.where(F.col(id_col) != F.col("component_id")).select(F.col(id_col).alias(name)).distinct(), "simhash-lost")
     out = df.join(lost, F.col(id_col) == F.col(name), "left_anti")

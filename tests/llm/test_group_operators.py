@@ -233,6 +233,34 @@ def test_toxicity_on_planted_insults(spark):
     assert {r.score for r in toxicity.score(rough(spark), nothing).collect()} == {0.0}
 
 
+def test_pipeline_keeps_one_of_each_group_of_near_copies(spark, sf_dir):
+    rng = random.Random(4)
+    texts = []
+    for _ in range(12):
+        base = [f"w{rng.randrange(10**6)}" for _ in range(rng.randint(6, 120))]
+        for edits in (0, 0, 1, 1, 2, 3, 5):
+            words = list(base)
+            for _ in range(edits):
+                words[rng.randrange(len(words))] = f"w{rng.randrange(10**6)}"
+            texts.append(" ".join(words))
+    texts += ["", None, "one", "ONE", "one two three"]
+    sets = []
+    for t in texts:
+        w = (t or "").lower().split()
+        sets.append({tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set())
+    root = list(range(len(texts)))
+    for i in range(len(texts)):
+        for j in range(i):
+            if sets[i] == sets[j] or len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]):
+                a, b = sorted((root[i], root[j]))
+                root = [a if r == b else r for r in root]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    kept = corpus_pipeline.drop_near_copies(spark, docs, sf_dir)
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(set(root))
+    assert len(set(root)) < simhash.keep_one(docs).count()
+    assert corpus_pipeline.drop_near_copies(spark, docs.limit(0), sf_dir).count() == 0
+
+
 def test_pipeline_stages(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     state, ids = docs, [docs.count()]
