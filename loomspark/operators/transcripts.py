@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loomspark.functions.text import collapse_whitespace
+from loomspark.functions.text import collapse_whitespace, compact, similarity
 from loomspark.operators.review import outcome, safe_change
 from loomspark.operators.timeline import NO_START
 
@@ -58,15 +58,17 @@ def check_proposals(targets: DataFrame, proposals: DataFrame, statuses: list[str
     return both.select("id", problem.alias("problem")).where("problem is not null")
 
 
-def resolve(timeline: DataFrame, proposals: DataFrame, similarity: Column | None = None) -> DataFrame:
+def resolve(timeline: DataFrame, proposals: DataFrame) -> DataFrame:
     """timeline with outcome, new text, ratio and whether review is forced; a left join, so every item keeps a row.
 
     proposals: id, corrected_text, status, category. Category is speech by default; other forces review for the speech stream.
+    A change is safe if similarity and length ratio of the compact texts, and the raw length ratio, are in bounds.
     """
     made = proposals.select("id", F.col("corrected_text").alias("after"), F.col("status").alias("proposed"), "category", F.lit(True).alias("found"))
     rows = timeline.join(made, "id", "left")
-    ratio = similarity if similarity is not None else F.lit(1.0)
-    safe = safe_change(F.length("text"), F.length("after"), F.length("text"), F.length("after"), ratio)
+    rows = rows.withColumn("compact_before", compact("text")).withColumn("compact_after", compact("after"))
+    ratio = similarity("compact_before", "compact_after")
+    safe = safe_change(F.length("text"), F.length("after"), F.length("compact_before"), F.length("compact_after"), ratio)
     rows = rows.withColumn("outcome", outcome(F.col("found"), F.col("proposed"), F.col("text"), F.col("after"), safe))
     category = F.coalesce("category", F.lit("speech"))
     return rows.select(

@@ -269,3 +269,15 @@ def test_failed_batches_block_publishing(spark):
         refuse_failures(batches)
     df = spark.createDataFrame([("1.5",), ("nan",), ("x",), (None,), ("inf",)], "v string")
     assert [r[0] for r in df.select(finite(F.col("v"), F.lit(-1.0))).collect()] == [1.5, -1.0, -1.0, -1.0, -1.0]
+
+
+def test_unsafe_proposals_are_rejected(spark):
+    from loomspark.operators.transcripts import change_log, resolve
+
+    before = "the quick brown fox jumps"
+    after = {"near": "the quick brown fox jumped", "unrelated": "zzzzz yyyy xxxx wwww vvvv", "marks": "!?!?!?!?!?!?!?!?!?!?!?!?!", "marked": "the quick brown fox jumps!", "short": "the"}
+    rows = spark.createDataFrame([(k, "speech", "u", 0.0, 1.0, before) for k in after] + [("silent", "speech", "u", 0.0, 1.0, "...")], "id string, kind string, source_uid string, start double, end double, text string")
+    made = spark.createDataFrame([(k, v, "corrected", "speech") for k, v in after.items()] + [("silent", "abc", "corrected", "speech")], "id string, corrected_text string, status string, category string")
+    got = resolve(rows, made)
+    assert {r.id: r.outcome for r in got.collect()} == {k: "accepted" if k in ("near", "marked") else "rejected_unsafe" for k in [*after, "silent"]}
+    assert {r.id for r in change_log(got).collect()} == {"near", "marked"}
