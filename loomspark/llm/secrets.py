@@ -39,9 +39,10 @@ FEATURES = (
 
 
 def candidates(df: DataFrame, id_col: str, text_col: str, context: tuple[str, ...] = ()) -> DataFrame:
-    """(id, place, value, prefix, before, after) of every word with a run of 16 or more token characters, a digit among them.
+    """(id, place, value, prefix, before, after) of every run of 16 or more token characters in a word, a digit among them.
 
-    place counts words from 0; before holds the two words before, after the one behind.
+    place counts words from 0; a word can have several runs. before holds the two words before, after the rest of the word
+    and the one behind. prefix is what leads to the run within its part of the word (a field, a parameter, a list's item).
     """
     words = df.select(F.col(id_col).alias("id"), *context, F.split(F.col(text_col), r"\s+").alias("words"))
     at = lambda i: F.get("words", i)
@@ -57,9 +58,18 @@ def candidates(df: DataFrame, id_col: str, text_col: str, context: tuple[str, ..
             )
         ).alias("c"),
     )
-    pattern = rf"^(.*?)({RUN}{{{LEAST},}}=*)[^A-Za-z0-9+/_-]*$"
-    parts = found.select("id", *context, "c.place", F.regexp_extract("c.word", pattern, 2).alias("value"), F.regexp_extract("c.word", pattern, 1).alias("prefix"), "c.before", "c.after")
-    return parts.where(F.col("value").rlike(r"\d"))
+    # Each match is a gap and the run behind it; = belongs to the run only as padding.
+    pattern = rf"(?s)(.*?)({RUN}{{{LEAST},}}(?:=+(?![A-Za-z0-9+/_=-]))?)"
+    every = lambda group: F.regexp_extract_all("c.word", F.lit(pattern), F.lit(group))
+    rest = F.regexp_replace("c.word", pattern, "")
+    runs = found.select("id", *context, "c.place", "c.before", "c.after", every(1).alias("gaps"), every(2).alias("runs"), rest.alias("rest"))
+    one = lambda value, i: F.struct(
+        value.alias("value"),
+        F.regexp_extract(F.concat(F.when(i > 0, F.get("runs", i - 1)).otherwise(""), F.get("gaps", i)), r"[^?&,;|(){}\[\]]*$", 0).alias("prefix"),
+        F.concat_ws(" ", F.coalesce(F.get("gaps", i + 1), "rest"), "after").alias("after"),
+    )
+    parts = runs.select("id", *context, "place", "before", F.explode(F.transform("runs", one)).alias("r"))
+    return parts.select("id", *context, "place", "r.value", "r.prefix", "before", "r.after").where(F.col("value").rlike(r"\d"))
 
 
 def features(found: DataFrame) -> DataFrame:

@@ -150,6 +150,31 @@ def test_secrets_on_labelled_findings_and_documents(spark, sf_dir):
     assert [r.masked for r in Z.scan(spark.createDataFrame([(i, t[0]) for i, t in enumerate(plain)], "doc_id int, text string"), forest).collect()] == ["a1b2…16"]
 
 
+def test_secrets_inside_words(spark):
+    import hashlib
+
+    h, g = hashlib.sha256(b"a").hexdigest()[:40], hashlib.sha256(b"b").hexdigest()[:40]
+    keys = ["AKIA" + "QWERTZ12UIOPASD" + c for c in "F3"]
+    web = ["eyJhbGciOiJIUzI1NiIsInR5cCI6IkpXVCJ9", "eyJzdWIiOiIxMjM0NTY3ODkwIiwibmFtZSI6IkpvaG4ifQ", "SflKxwRJSMeKKF2QT4fwpMeJf36POk6yJVadQssw5c0"]
+    cases = [
+        ('{"token":"%s","user":"bob"}' % h, [h]),
+        ("https://x/?token=%s&user=bob" % h, [h]),
+        ('{"password":"%s","api_key":"%s"}' % (h, g), [h, g]),
+        (",".join(keys), keys),
+        ("my_very_long_access_token=%s;" % h, [h]),
+        (".".join(web), web[:2]),
+        ('{"sha1":"%s","user":"bob"}' % h, []),
+    ]
+    docs = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(cases)], "doc_id int, text string")
+    values = [(r.id, r.value) for r in Z.candidates(docs, "doc_id", "text").collect()]
+    assert set(values) >= {(i, v) for i, (_, want) in enumerate(cases) for v in want}
+    found = Z.scan(docs, Z.train(Z.labelled_findings(spark))).collect()
+    for i, (_, want) in enumerate(cases):
+        got = {r.value_sha256 for r in found if r.doc_id == i}
+        assert got >= {hashlib.sha256(v.encode()).hexdigest() for v in want} and (want or not got)
+    assert sum(r.kind == "web token" for r in found) == 2
+
+
 @pytest.mark.parametrize("seed", range(3))
 def test_longest_overlap_is_the_brute_force(seed):
     import numpy as np
