@@ -16,7 +16,7 @@ from .line_dedup import drop_spread_lines
 from .sharding import contiguous_shards
 from .sentencepiece_codec import encode_decode
 from .simhash import near_duplicates
-from .surrogates import replace_pii
+from .surrogates import replace_checked
 from .toxicity import held_out, score, train
 from .url_filter import Rule, judge_urls
 
@@ -94,7 +94,7 @@ PII_KEY = b"surrogate key of the registered query"
 
 def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its personal data replaced by surrogates."""
-    found = replace_pii(table(spark, sf_dir, "documents"), PII_KEY)
+    found = replace_checked(table(spark, sf_dir, "documents"), PII_KEY)
     kinds = F.array_join(F.array_sort(F.array_distinct("entities.kind")), ",")
     return found.select("doc_id", "text", F.size("entities").alias("n_entities"), kinds.alias("kinds"))
 

@@ -6,7 +6,8 @@ names stay in their script and gender. A keyed permutation P of the domain witho
 P(x) = F'(F(x) + 1) for a Feistel network F and its inverse F', gives the surrogate. So within a format
 different entities get different surrogates, the same entity gets the same one in every document, and
 none keeps its value; surrogates keep the format, so those of different formats differ too.
-:func:`collisions` checks a run's results for it all the same.
+Mail domains and names can still meet across formats, so :func:`replace_checked` checks a run's results with
+:func:`collisions` and takes another key if there are any.
 """
 
 from __future__ import annotations
@@ -20,6 +21,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .common import drop, materialize
+
 ROUNDS = 6
 #: Given names by script and gender; each list is one domain.
 GIVEN = {
@@ -120,17 +123,21 @@ class Surrogates:
         """'+' digits or ten digits; the country code and the exchange 555 stay, area codes start with 2 to 9."""
         if value.startswith("+1") and len(value) == 12 or len(value) == 10 and value[0] != "+":
             head, area, mid, line = value[:-10], value[-10:-7], value[-7:-4], value[-4:]
-            free = line if mid == "555" else mid + line
-            tail = int(area[1:] + free)
-            size = 10 ** (2 + len(free))
+            # Other exchanges are numbered without 555, which has surrogates of its own.
+            exchange = int(mid) - (mid > "555")
+            exchanges = 1 if mid == "555" else 999
+            tail = (int(area[1:]) * exchanges + (0 if mid == "555" else exchange)) * 10**4 + int(line)
+            size = 100 * exchanges * 10**4
+            what = 4 if mid == "555" else 7
             if area[0] in "23456789":
-                x = self.permuted((int(area[0]) - 2) * size + tail, 8 * size, f"tel:{head}:{len(free)}")
+                x = self.permuted((int(area[0]) - 2) * size + tail, 8 * size, f"tel:{head}:{what}")
                 first, tail = divmod(x, size)
                 area0 = str(first + 2)
             else:
-                area0, tail = area[0], self.permuted(tail, size, f"tel:{head}{area[0]}:{len(free)}")
-            text = "%0*d" % (2 + len(free), tail)
-            return head + area0 + text[:2] + (mid + text[2:] if mid == "555" else text[2:])
+                area0, tail = area[0], self.permuted(tail, size, f"tel:{head}{area[0]}:{what}")
+            rest, line = divmod(tail, 10**4)
+            rest, exchange = divmod(rest, exchanges)
+            return head + area0 + "%02d%03d%04d" % (rest, 555 if mid == "555" else exchange + (exchange >= 555), line)
         keep = 2 if len(value) > 9 else 1
         return value[: keep + 1] + self.digits(value[keep + 1 :], "tel" + value[: keep + 1])
 
@@ -301,7 +308,28 @@ def replace_pii(df: DataFrame, key: bytes, id_col: str = "doc_id", text_col: str
 def collisions(replaced: DataFrame) -> DataFrame:
     """Surrogates that more than one entity got (kind, surrogate, entities); empty if all went well.
 
-    Persons are left out: a family name alone and in a full name are two entities of one person.
+    Surrogates count without what their forms differ in: marks in numbers, case in mail addresses, white space in names.
+    """
+    seen = replaced.select(F.explode("entities").alias("e")).select("e.kind", "e.entity", "e.surrogate")
+    plain = (
+        F.when(F.col("kind").isin("phone", "card", "ssn"), F.regexp_replace("surrogate", r"[^0-9+]", ""))
+        .when(F.col("kind") == "email", F.lower("surrogate"))
+        .when(F.col("kind") == "iban", F.replace("surrogate", F.lit(" "), F.lit("")))
+        .otherwise(F.regexp_replace("surrogate", r"[\s\u00a0]+", " "))
+    )
+    seen = seen.select("kind", "entity", plain.alias("surrogate"))
+    return seen.distinct().groupBy("kind", "surrogate").agg(F.count("*").alias("entities")).where("entities > 1")
+
+
+def replace_checked(df: DataFrame, key: bytes, id_col: str = "doc_id", text_col: str = "text", tries: int = 4) -> DataFrame:
+    """:func:`replace_pii` under the key, or under the next one derived from it if two entities got one surrogate.
+
+    The result is written before it is checked. Raises if no key of so many gives distinct surrogates.
     """
-    seen = replaced.select(F.explode("entities").alias("e")).select("e.kind", "e.entity", F.lower(F.regexp_replace("e.surrogate", r"[ ()-]", "")).alias("surrogate"))
-    return seen.where("kind <> 'person'").distinct().groupBy("kind", "surrogate").agg(F.count("*").alias("entities")).where("entities > 1")
+    for attempt in range(tries):
+        used = blake2b(b"%d" % attempt, key=key[:64]).digest() if attempt else key
+        made = materialize(replace_pii(df, used, id_col, text_col), "pii")
+        if not collisions(made).limit(1).count():
+            return made
+        drop(made)
+    raise RuntimeError(f"two entities share a surrogate under each of {tries} keys")

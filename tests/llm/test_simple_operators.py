@@ -132,6 +132,37 @@ def test_pii_on_documents_and_awkward_rows(spark, sf_dir):
     assert P.replace_pii(rough(spark, 0), b"k").count() == 0
 
 
+def test_other_exchanges_stay_out_of_555():
+    s = P.Surrogates(b"k")
+    numbers = ["+1%03d%03d%04d" % (200 + i % 800, mid, i) for i in range(3000) for mid in (554, 555, 556)]
+    out = {n: s.phone(n) for n in numbers}
+    assert len(set(out.values())) == len(out)
+    assert all((n[5:8] == "555") == (m[5:8] == "555") and n != m for n, m in out.items())
+
+
+def test_colliding_surrogates_are_seen_and_another_key_taken(spark, monkeypatch):
+    docs = spark.createDataFrame([(0, "Anna Meier, Anna Bauer"), (1, "a-b@mail.org or ab@mail.org"), (2, "Anna  Meier")], "doc_id int, text string")
+    assert P.collisions(P.replace_pii(docs, b"k")).count() == 0
+    same = "array<struct<kind string, entity string, surrogate string>>"
+    clash = spark.createDataFrame([([("person", "x", "Eva Lo"), ("person", "y", "Eva  Lo"), ("phone", "p", "(255) 1"), ("phone", "q", "255-1")],)], f"entities {same}")
+    assert sorted(r.kind for r in P.collisions(clash).collect()) == ["person", "phone"]
+    keys, plain = [], P.replace_pii
+
+    def first_collides(df, key, *rest):
+        keys.append(key)
+        made = plain(df, key, *rest)
+        entity = F.struct(*[F.lit(v).alias(k) for k, v in zip(("start", "end", "kind", "entity", "surrogate"), (0, 1, "phone", "p", "1"))])
+        both = F.array(entity, entity.withField("entity", F.lit("q")))
+        return made.withColumn("entities", both) if len(keys) == 1 else made
+
+    monkeypatch.setattr(P, "replace_pii", first_collides)
+    made = P.replace_checked(docs, b"k")
+    assert keys[0] == b"k" and len(set(keys)) == 2 and P.collisions(made).count() == 0 and made.count() == 3
+    monkeypatch.setattr(P, "collisions", lambda df: df)
+    with pytest.raises(RuntimeError):
+        P.replace_checked(docs, b"k")
+
+
 def test_secrets_on_labelled_findings_and_documents(spark, sf_dir):
     forest = Z.train(Z.labelled_findings(spark))
     votes = sum((t.column() for t in forest[1:]), forest[0].column()) / len(forest)
