@@ -215,15 +215,15 @@ class Surrogates:
             canonical = m[0].replace(" ", "")
             if 15 <= len(canonical) <= 34 and mod97(canonical[4:] + canonical[:4]) == 1:
                 found.append((*m.span(), "iban", canonical, refilled(m[0], self.surrogate("iban", canonical), "[A-Z0-9]")))
-        families: set[str] = set()
+        names: set[str] = set()
         for m in _PERSON.finditer(text):
             parts = re.findall(r"\s+|\S+", m[2])
-            families |= {p for p in parts if not p.isspace()}
+            names |= {m[1], *(p for p in parts if not p.isspace())}
             new = self.surrogate("given", m[1]) + "".join(p if p.isspace() else self.surrogate("given" if p in _GIVEN else "family", p) for p in parts)
             found.append((*m.span(), "person", " ".join([m[1], *m[2].split()]), new))
         taken = sorted(found)
-        if families:  # later or earlier mentions by family name alone
-            alone = re.compile(r"(?<!\w)(?:" + "|".join(sorted(map(re.escape, families), key=len, reverse=True)) + r")(?!\w)")
+        if names:  # later or earlier mentions by given or family name alone
+            alone = re.compile(r"(?<!\w)(?:" + "|".join(sorted(map(re.escape, names), key=len, reverse=True)) + r")(?!\w)")
             taken += [(*m.span(), "person", m[0], self.surrogate("given" if m[0] in _GIVEN else "family", m[0])) for m in alone.finditer(text)]
         out: list[tuple[int, int, str, str, str]] = []
         for x in sorted(taken, key=lambda x: (x[0], -x[1])):
@@ -271,8 +271,8 @@ def replace_pii(df: DataFrame, key: bytes, id_col: str = "doc_id", text_col: str
     """Each whole text with its personal data replaced.
 
     Found: mail addresses, phone numbers, card numbers, IPv4 addresses, US social security numbers, IBANs
-    with right check digits, and persons (a listed given name followed by family names, and these alone
-    elsewhere in the same text). Different forms of one entity (case, spacing, punctuation) share a surrogate.
+    with right check digits, and persons (a listed given name followed by family names, and each of these names
+    alone elsewhere in the same text). Different forms of one entity (case, spacing, punctuation) share a surrogate.
 
     Returns id_col, text_col, entities array<struct<start int, end int, kind string, entity string, surrogate
     string>>: places in the original text, a keyed digest of the canonical form, the canonical surrogate's digest

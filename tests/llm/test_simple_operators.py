@@ -132,6 +132,13 @@ def test_pii_on_documents_and_awkward_rows(spark, sf_dir):
     assert P.replace_pii(rough(spark, 0), b"k").count() == 0
 
 
+def test_given_names_alone_get_their_persons_surrogate():
+    text, found = P.Surrogates(b"k").replaced("Sarah knew. Maria Lopez came; Maria said so. Lopez left, Mariana stayed.")
+    names = [f[4] for f in found]
+    assert len(names) == 3 and names[0].split() == names[1:] and "Lopez" not in text
+    assert not re.search(r"\bMaria\b", text) and "Mariana" in text and "Sarah" in text
+
+
 def test_other_exchanges_stay_out_of_555():
     s = P.Surrogates(b"k")
     numbers = ["+1%03d%03d%04d" % (200 + i % 800, mid, i) for i in range(3000) for mid in (554, 555, 556)]
