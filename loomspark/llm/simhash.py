@@ -1,8 +1,7 @@
-"""SimHash fingerprints and their groups under a small Hamming distance, by multi-index hashing.
+"""SimHash fingerprints and their groups under a Hamming distance of 2, by full-width one-bit neighbourhoods.
 
-Every fingerprint enumerates the Hamming ball of half the link distance within each of its segments. The
-table is keyed by the changed segment together with the untouched rest, so two fingerprints meet at a key
-exactly if they differ in at most twice the ball's radius, whichever segments the bits fall in. A key holds
+Every fingerprint has 65 keys: itself and its 64 one-bit flips. Two fingerprints meet at a key
+exactly if they differ in at most 2 bits. A key holds
 65 distinct fingerprints at most (its own ball), so no bucket is unbounded, however many near copies
 there are, and no pairs within a group are listed: members of a key link to its smallest fingerprint.
 """
