@@ -7,13 +7,10 @@ A line that spreads stays once, in the document with the smallest id, and goes f
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from .common import fresh, materialize
+from .common import drop, fresh, materialize
 
 BLANKS = " \t\r"
 
@@ -56,89 +53,43 @@ def drop_spread_lines(
     text_col: str = "text",
     site_col: str = "source",
     min_sites: int = 5,
-    broadcast_keys: int = 1_000_000,
 ) -> DataFrame:
     """df with its text freed of lines that other documents own, and a column removed_lines (int).
 
     A line spreads if at least min_sites distinct sites carry it (a null site is a site of its own). It
     stays in the documents with the smallest id that has it, there at its first place; all other
     occurrences go. Lines are compared without blanks around them; blank lines stay. A text may become
-    empty; null stays null with 0 removed. All rows and columns of df stay (a column removed_lines of df is
-    replaced); repeated rows get equal results. An empty table gives an empty result.
+    empty; null stays null with 0 removed. Rows without an id own a line only if no row with an id has it;
+    all of them keep it then, at its first place. All rows and columns of df stay (a column removed_lines of
+    df is replaced); repeated rows get equal results. An empty table gives an empty result.
 
-    Spreading lines go to the workers as arrays of 24 bytes a line while there are at most broadcast_keys
-    (24 MB); beyond that, line places to drop are found by a join and applied to the texts that have some.
+    Places to drop are found by a join on the line's hash and grouped by row (id and hash of the text); the
+    texts that have some are cut there. All of it are DataFrame expressions; a text's places are no more than its lines.
     """
+    df = df.drop("removed_lines")
     keys = materialize(line_keys(df, id_col, text_col, site_col), "line-keys")
     found = materialize(spread_lines(keys, min_sites), "line-boilerplate")
-    df = df.drop("removed_lines")
-    if df.schema[id_col].dataType == T.LongType() and found.count() <= broadcast_keys:
-        return _inline(df, found, id_col, text_col)
-    return _joined(df, found, id_col, text_col)
-
-
-def _inline(df: DataFrame, found: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    import numpy as np
-
-    rows = found.select("k1", "k2", "owner").toArrow()
-    k1, k2, owner = (np.asarray(rows.column(c)) for c in ("k1", "k2", "owner"))
-    order = np.argsort(k1, kind="stable")
-    shipped = df.sparkSession.sparkContext.broadcast((k1[order], k2[order], owner[order]))
-    names = df.columns
-    schema = T.StructType([*df.schema.fields, T.StructField("removed_lines", T.IntegerType(), False)])
-
-    def run(batches: Iterator) -> Iterator:
-        import pyarrow as pa
-        from xxhash import xxh64_intdigest
-
-        k1, k2, owner = shipped.value
-        mask = (1 << 64) - 1
-        known: dict[int, list[tuple[int, int]]] = {}
-        for a, b, c in zip(k1.tolist(), k2.tolist(), owner.tolist()):
-            known.setdefault(a & mask, []).append((b & mask, c))
-        salt = (1).to_bytes(4, "little")  # as xxhash64(line, 1) hashes it
-
-        def clean(text: str | None, row_id: int | None) -> tuple[str | None, int]:
-            if text is None:
-                return None, 0
-            out, removed, seen = [], 0, set()
-            for line in text.split("\n"):
-                raw = line.strip(BLANKS).encode()
-                first = xxh64_intdigest(raw, 42)
-                owners = [c for b, c in known[first] if b == xxh64_intdigest(salt, first)] if raw and first in known else []
-                if owners and (owners[0] != row_id or raw in seen):
-                    removed += 1
-                    continue
-                if owners:
-                    seen.add(raw)
-                out.append(line)
-            return ("\n".join(out), removed) if removed else (text, 0)
-
-        at_text, at_id = names.index(text_col), names.index(id_col)
-        for batch in batches:
-            for start in range(0, batch.num_rows, 256):
-                cut = batch.slice(start, 256)
-                done = [clean(t, i) for t, i in zip(cut.column(at_text).to_pylist(), cut.column(at_id).to_pylist())]
-                columns = list(cut.columns)
-                columns[at_text] = pa.array([t for t, _ in done], pa.string())
-                columns.append(pa.array([n for _, n in done], pa.int32()))
-                yield pa.RecordBatch.from_arrays(columns, names=[*names, "removed_lines"])
-
-    return df.mapInArrow(run, schema)
-
-
-def _joined(df: DataFrame, found: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    stamp = F.xxhash64(F.col(text_col))
-    places = df.select(F.col(id_col).alias("id"), stamp.alias("stamp"), F.posexplode(F.split(F.col(text_col), "\n")).alias("at", "line"))
-    places = places.withColumn("line", F.btrim("line", F.lit(BLANKS))).where("line <> ''")
-    places = places.select("id", "stamp", "at", F.xxhash64("line").alias("k1"), F.xxhash64("line", F.lit(1)).alias("k2"))
-    held = places.join(found, ["k1", "k2"]).groupBy("id", "stamp", "k1", "k2", "owner").agg(F.sort_array(F.collect_set("at")).alias("all"))
-    gone = F.when(F.col("owner").eqNullSafe(F.col("id")), F.slice("all", 2, F.size("all"))).otherwise(F.col("all"))
-    own_id, own_stamp, places = (fresh(df, c) for c in ("__id", "__stamp", "__gone"))
-    drops = held.groupBy(F.col("id").alias(own_id), F.col("stamp").alias(own_stamp)).agg(F.flatten(F.collect_list(gone)).alias(places))
-    out = df.join(materialize(drops, "line-drops"), F.col(id_col).eqNullSafe(F.col(own_id)) & (stamp == F.col(own_stamp)), "left")
-    none = F.coalesce(F.size(places), F.lit(0)) <= 0
-    kept = F.filter(F.split(F.col(text_col), "\n"), lambda line, at: ~F.array_contains(F.col(places), at))
-    text = F.when(none, F.col(text_col)).otherwise(F.array_join(kept, "\n"))
-    count = F.when(none, 0).otherwise(F.size(places)).cast("int")
+    text = F.col(text_col)
+    stamps = [F.xxhash64(text), F.xxhash64(text, F.lit(1))]
+    lines = df.select(F.col(id_col).alias("id"), *[s.alias(f"s{i}") for i, s in enumerate(stamps)], F.posexplode(F.split(text, "\n")).alias("at", "line"))
+    lines = lines.withColumn("line", F.btrim("line", F.lit(BLANKS))).where("line <> ''")
+    lines = lines.select("id", "s0", "s1", "at", F.xxhash64("line").alias("k1"), F.xxhash64("line", F.lit(1)).alias("k2"))
+    held = materialize(lines.join(found, ["k1", "k2"]).select("id", "s0", "s1", "at", "k1", "k2", F.col("owner").eqNullSafe(F.col("id")).alias("own")), "line-held")
+    # The first place of a line that the row owns stays.
+    least = held.groupBy("id", "s0", "s1", "k1", "k2", "own").agg(F.sort_array(F.collect_set("at")).alias("at"))
+    gone = least.select("id", "s0", "s1", F.when(F.col("own"), F.slice("at", 2, F.size("at"))).otherwise(F.col("at")).alias("at"))
+    own = [fresh(df, c) for c in ("__id", "__s0", "__s1", "__gone")]
+    drops = gone.groupBy("id", "s0", "s1").agg(F.flatten(F.collect_list("at")).alias("at")).where(F.size("at") > 0).toDF(*own)
+    drops = materialize(drops, "line-drops")
+    drop(held)
+    same = F.col(id_col).eqNullSafe(F.col(own[0])) & (stamps[0] == F.col(own[1])) & (stamps[1] == F.col(own[2]))
+    out = df.join(drops, same, "left")
+    places = F.col(own[3])
+    # Lines and kept places are each computed once, as arguments of the outer functions.
+    cut = F.transform(
+        F.array(F.split(text, "\n")),
+        lambda parts: F.array_join(F.transform(F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), places), lambda at: F.get(parts, at)), "\n"),
+    )[0]
+    text = F.when(places.isNull(), text).otherwise(cut)
+    count = F.when(places.isNull(), 0).otherwise(F.size(places)).cast("int")
     return out.select(*[text.alias(c) if c == text_col else F.col(f"`{c}`") for c in df.columns], count.alias("removed_lines"))

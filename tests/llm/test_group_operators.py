@@ -186,17 +186,50 @@ def test_components_of_random_links(spark, seed):
     assert connected_components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
-def test_lines_both_ways_and_awkward_rows(spark, sf_dir):
+def cleaned(rows, min_sites=5):
+    """Brute force: (id, text, removed) of (id, text, site) rows."""
+    sites, owner = {}, {}
+    for i, text, site in rows:
+        for line in (text or "").split("\n"):
+            key = line.strip(line_dedup.BLANKS)
+            if key:
+                sites.setdefault(key, set()).add(site or "")
+                known = owner.get(key)
+                owner[key] = known if i is None else i if known is None else min(i, known)
+    out = []
+    for i, text, _ in rows:
+        kept, seen = [], set()
+        for line in (text or "").split("\n"):
+            key = line.strip(line_dedup.BLANKS)
+            if key and len(sites[key]) >= min_sites:
+                if owner[key] != i or key in seen:
+                    continue
+                seen.add(key)
+            kept.append(line)
+        out.append((i, text if text is None else "\n".join(kept), 0 if text is None else text.count("\n") + 1 - len(kept)))
+    return sorted(out, key=repr)
+
+
+def test_lines_of_documents(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    ways = [sorted((r.doc_id, r.text, r.removed_lines) for r in line_dedup.drop_spread_lines(docs, broadcast_keys=k).collect()) for k in (1_000_000, -1)]
-    assert ways[0] == ways[1] and sum(r[2] for r in ways[0]) > 0
-    rows = [(i, "same line\nown %d\n\nsame line " % i, f"s{i % 7}") for i in range(9)]
-    for k in (1_000_000, -1):
-        got = {r.doc_id: (r.text, r.removed_lines) for r in line_dedup.drop_spread_lines(spark.createDataFrame(rows, "doc_id long, text string, source string"), broadcast_keys=k).collect()}
-        assert got[0] == ("same line\nown 0\n", 1) and got[3] == ("own 3\n", 2)
-        out = line_dedup.drop_spread_lines(rough(spark), broadcast_keys=k)
-        assert sorted(out.columns) == sorted(rough(spark).columns) and out.count() == 8
-        assert line_dedup.drop_spread_lines(rough(spark, 0), broadcast_keys=k).count() == 0
+    got = sorted(((r.doc_id, r.text, r.removed_lines) for r in line_dedup.drop_spread_lines(docs).collect()), key=repr)
+    assert got == cleaned([(r.doc_id, r.text, r.source) for r in docs.collect()]) and sum(r[2] for r in got) > 0
+    out = line_dedup.drop_spread_lines(rough(spark))
+    assert sorted(out.columns) == sorted(rough(spark).columns) and out.count() == 8
+    assert line_dedup.drop_spread_lines(rough(spark, 0)).count() == 0
+
+
+def test_lines_of_large_null_and_repeated_ids(spark):
+    big = 2**60
+    rows = [(big + i, "shared by large ids\nown %d\n\n shared by large ids\r" % i, f"s{i % 7}") for i in range(9)]
+    rows += [(None, "only without ids\nshared by large ids\nonly without ids", f"s{i % 7}") for i in range(9)]
+    rows += [(big + 2, "another text of the id\nshared by large ids", "s1"), (big, "shared by large ids\nshared by large ids", None)] * 2
+    rows += [(big + 20, None, "s2"), (big + 21, "", "s3"), (None, None, None)]
+    rows += [(5 - i, "\n".join(["an owned line"] * (i + 1)), f"s{i}") for i in range(6)]
+    random.Random(3).shuffle(rows)
+    got = [(r.doc_id, r.text, r.removed_lines) for r in line_dedup.drop_spread_lines(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()]
+    assert sorted(got, key=repr) == cleaned(rows)
+    assert (None, "only without ids", 2) in got and (0, "an owned line", 5) in got and (5, "", 1) in got
 
 
 @pytest.mark.parametrize("sites", [1, 3, 4, 5, 6, 7, 40])
