@@ -17,8 +17,12 @@ _written: dict[str, SparkSession] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The shared folder: ``spark.checkpoint.dir``; a folder of this machine only where that is unset (tests)."""
-    found = spark.conf.get("spark.checkpoint.dir", None) or f"file://{os.path.join(tempfile.gettempdir(), 'loomspark-checkpoints')}"
+    """The shared folder: ``spark.checkpoint.dir``. Only a local session (one machine, as in tests) may leave it unset."""
+    found = spark.conf.get("spark.checkpoint.dir", None)
+    if not found:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        found = f"file://{os.path.join(tempfile.gettempdir(), 'loomspark-checkpoints')}"
     return found.rstrip("/")
 
 
