@@ -12,8 +12,12 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Shortest candidate.
+from .common import materialize
+
+#: Shortest candidate. Shorter secrets are not looked for.
 LEAST = 16
+#: A key's line of 64 or 76 characters, the break behind it, and the next line: wrapped keys are read as one run.
+WRAPPED = r"(?<=[A-Za-z0-9+/]{64})\r?\n(?=[A-Za-z0-9+/]{4,76}={0,2}(?:\s|$))"
 RUN = "[A-Za-z0-9+/_-]"
 #: Words that make a string less likely a secret, for dictionary coverage.
 DICTIONARY = (
@@ -34,19 +38,20 @@ DICTIONARY = (
 SECRET_WORDS = "password|passwd|pwd|secret|token|api[_-]?key|apikey|access[_-]?key|auth|credential|private|bearer|client[_-]?key|key"
 PLAIN_WORDS = "commit|sha1|sha256|sha|md5|checksum|hash|digest|revision|rev|uuid|guid|version|build|etag|card|account|order|invoice|isbn|phone|trace|id|blob|integrity|image|file|path|href|src"
 FEATURES = (
-    "length", "digits", "uppers", "lowers", "changes", "distinct", "letters_run", "digits_run", "coverage", "hex_only", "marked", "in_path", "secret_near", "plain_near", "assigned", "quoted",
+    "length", "digits", "uppers", "lowers", "vowels", "changes", "distinct", "letters_run", "digits_run", "consonants_run", "coverage", "hex_only", "marked", "in_path",
+    "secret_near", "plain_near", "assigned", "quoted",
 )
 
 
 def candidates(df: DataFrame, id_col: str, text_col: str, context: tuple[str, ...] = ()) -> DataFrame:
-    """(id, place, value, prefix, before, after) of every run of 16 or more token characters in a word, a digit among them.
+    """(id, place, value, prefix, before, after) of every run of 16 or more token characters in a word.
 
-    place counts words from 0; a word can have several runs. before holds the two words before, after the rest of the word
+    place counts words from 0, a wrapped key as one; a word can have several runs. before holds the two words before, after the rest of the word
     and the one behind. prefix is what leads to the run within its part of the word (a field, a parameter, a list's item).
     """
-    words = df.select(F.col(id_col).alias("id"), *context, F.split(F.col(text_col), r"\s+").alias("words"))
+    words = df.select(F.col(id_col).alias("id"), *context, F.split(F.regexp_replace(F.col(text_col), WRAPPED, ""), r"\s+").alias("words"))
     at = lambda i: F.get("words", i)
-    fits = lambda i: (F.length(at(i)) >= LEAST) & at(i).rlike(r"\d") & at(i).rlike(f"{RUN}{{{LEAST},}}")
+    fits = lambda i: (F.length(at(i)) >= LEAST) & at(i).rlike(f"{RUN}{{{LEAST},}}")
     found = words.select(
         "id", *context,
         F.explode(
@@ -69,31 +74,33 @@ def candidates(df: DataFrame, id_col: str, text_col: str, context: tuple[str, ..
         F.concat_ws(" ", F.coalesce(F.get("gaps", i + 1), "rest"), "after").alias("after"),
     )
     parts = runs.select("id", *context, "place", "before", F.explode(F.transform("runs", one)).alias("r"))
-    return parts.select("id", *context, "place", "r.value", "r.prefix", "before", "r.after").where(F.col("value").rlike(r"\d"))
+    return parts.select("id", *context, "place", "r.value", "r.prefix", "before", "r.after")
 
 
 def features(found: DataFrame) -> DataFrame:
     """found with a double column for each of FEATURES."""
-    v, n = F.col("value"), F.length("value").cast("double")
+    v, n = F.col("value"), F.greatest(F.length("value"), F.lit(1)).cast("double")
     share = lambda pattern: F.regexp_count(v, F.lit(pattern)) / n
     near = F.lower(F.concat_ws(" ", F.col("before"), F.col("prefix")))
     longest = lambda pattern: F.coalesce(F.array_max(F.transform(F.regexp_extract_all(v, F.lit(f"({pattern})"), F.lit(1)), F.length)), F.lit(0))
     covered = F.length(F.regexp_replace(F.lower(v), "|".join(sorted(DICTIONARY, key=lambda w: (-len(w), w))), ""))
     columns = {
-        "length": n,
+        "length": F.least(n, F.lit(100.0)),
         "digits": share("[0-9]"),
         "uppers": share("[A-Z]"),
         "lowers": share("[a-z]"),
+        "vowels": F.regexp_count(v, F.lit("[AEIOUaeiou]")) / F.greatest(F.regexp_count(v, F.lit("[A-Za-z]")), F.lit(1)),
         # Changes between digits, upper and lower case and marks, per character.
         "changes": F.regexp_count(v, F.lit(r"(?<=[0-9])(?![0-9]|$)|(?<=[A-Z])(?![A-Z]|$)|(?<=[a-z])(?![a-z]|$)|(?<=[+/_=-])(?![+/_=-]|$)")) / n,
         "distinct": F.size(F.array_distinct(F.split(v, ""))) / F.least(n, F.lit(40.0)),
         "letters_run": longest("[A-Za-z]+"),
         "digits_run": longest("[0-9]+"),
+        "consonants_run": longest("[B-DF-HJ-NP-TV-XZb-df-hj-np-tv-xz]+"),
         "coverage": (n - covered) / n,
         "hex_only": v.rlike("^(?:[0-9a-f]+|[0-9A-F]+)$"),
         "marked": v.rlike("^(?:AKIA|ASIA|ghp_|gho_|github_pat_|sk-|sk_live_|rk_live_|xox[abp]-|glpat-|AIza|eyJ)"),
         "in_path": F.col("prefix").rlike("[/\\\\]|://") | v.rlike("/.*/"),
-        "secret_near": near.rlike(rf"(?:^|[^a-z])(?:[a-z_-]*(?:{SECRET_WORDS}))[\"' ]*[=:]*[\"' ]*$|(?:{SECRET_WORDS})[^a-z]* (?:is|[=:]+)"),
+        "secret_near": near.rlike(rf"(?:^|[^a-z])(?:[a-z_-]*(?:{SECRET_WORDS}))[\"' ]*[=:>]*[\"' ]*$|(?:{SECRET_WORDS})[^a-z]* (?:is|[=:]+)|private key----- ?$"),
         "plain_near": near.rlike(rf"(?:^|[^a-z])(?:{PLAIN_WORDS})(?:[^a-z]|$)"),
         "assigned": F.col("prefix").rlike("[=:][\"']?$") | F.col("before").rlike("(?:^|[^A-Za-z0-9])[=:]+$|[A-Za-z_\"'][=:]+$"),
         "quoted": F.col("prefix").rlike("[\"'`]$"),
@@ -118,12 +125,12 @@ class Node:
 
 
 def grow(x: np.ndarray, y: np.ndarray, rng: np.random.Generator, depth: int, least: int = 4) -> Node:
-    """A tree by Gini impurity; each split looks at a random third of the features."""
+    """A tree by Gini impurity; each split looks at a random half of the features."""
     share = float(y.mean())
     if depth == 0 or len(y) < 2 * least or share in (0.0, 1.0):
         return Node(share)
     best = (share * (1 - share) * len(y) - 1e-9, -1, 0.0)
-    for f in rng.permutation(x.shape[1])[: max(3, x.shape[1] // 3)]:
+    for f in rng.permutation(x.shape[1])[: max(3, x.shape[1] // 2)]:
         order = np.argsort(x[:, f], kind="stable")
         values, ones = x[order, f], np.cumsum(y[order])
         cut = np.nonzero(values[1:] > values[:-1])[0]
@@ -142,7 +149,14 @@ def grow(x: np.ndarray, y: np.ndarray, rng: np.random.Generator, depth: int, lea
     return Node(share, best[1], best[2], grow(x[low], y[low], rng, depth - 1, least), grow(x[~low], y[~low], rng, depth - 1, least))
 
 
-def train(findings: DataFrame, trees: int = 16, depth: int = 5, rows: int = 5000, seed: int = 5) -> list[Node]:
+def walked(tree: Node, row) -> float:
+    """The share of the leaf that a row of features ends in; what :meth:`Node.column` compiles."""
+    while tree.below is not None:
+        tree = tree.below if row[tree.feature] <= tree.bound else tree.above
+    return round(tree.share, 6)
+
+
+def train(findings: DataFrame, trees: int = 16, depth: int = 9, rows: int = 10_000, seed: int = 5) -> list[Node]:
     """Forest from labelled findings: value, prefix, before, after, label (0 or 1).
 
     At most `rows` findings are used, the first by a hash of the value. The driver holds only these.
@@ -158,41 +172,69 @@ def train(findings: DataFrame, trees: int = 16, depth: int = 5, rows: int = 5000
     return out
 
 
-def labelled_findings(spark: SparkSession, rows: int = 3000) -> DataFrame:
-    """Labelled findings made by rule: the formats of known secrets, and of strings that are often taken for them."""
-    base = spark.range(rows).withColumn("h", F.sha2(F.concat(F.lit("finding"), F.col("id").cast("string")), 256)).withColumn("g", F.sha2(F.col("h"), 512))
-    pick = lambda items, salt: F.element_at(F.array(*map(F.lit, items)), (F.pmod(F.xxhash64("id", F.lit(salt)), F.lit(len(items))) + 1).cast("int"))
-    b64 = F.regexp_replace(F.base64(F.unhex(F.substring("g", 1, 96))), "[\r\n]", "")
-    upper = F.upper(F.translate(F.substring("g", 1, 16), "01", "yz"))
-    name = pick(["password", "passwd", "token", "api_key", "secret", "access_key", "auth_token", "client_secret", "db_password", "private_key"], 1)
-    word = pick(["the", "und", "with", "from", "note", "then", "que", "les"], 2)
-    plain = pick(["commit", "sha256", "md5", "checksum", "revision", "digest", "etag", "hash", "build", "blob"], 3)
-    a, b = pick(DICTIONARY, 4), pick(DICTIONARY, 5)
-    n = (F.pmod(F.xxhash64("id", F.lit(6)), F.lit(25)) + 16).cast("int")
-    hexa = F.substring(F.col("g"), F.lit(1), n)
-    row = lambda value, prefix, before, label: F.struct(value.alias("value"), prefix.alias("prefix"), before.alias("before"), F.lit("").alias("after"), F.lit(label).alias("label"))
-    no, quote = F.lit(""), F.lit('"')
-    kinds = [
-        row(hexa, F.concat(name, F.lit("=")), word, 1),
-        row(F.substring(b64, F.lit(1), n), F.concat(name, F.lit("=")), word, 1),
-        row(hexa, quote, F.concat(name, F.lit(" =")), 1),
-        row(F.substring(b64, 1, 40), quote, F.concat(name, F.lit(" :")), 1),
-        row(F.concat(F.lit("AKIA"), upper), no, F.concat(word, F.lit(" "), a), 1),
-        row(F.concat(F.lit("ghp_"), F.translate(F.substring(b64, 1, 36), "+/", "ab")), no, F.concat(word, F.lit(" "), a), 1),
-        row(F.concat(F.lit("sk-"), F.translate(F.substring(b64, 1, 40), "+/", "cd")), quote, F.concat(name, F.lit(" =")), 1),
-        row(F.substring(b64, 1, 40), no, F.concat(name, F.lit(":")), 1),
-        row(F.substring("h", 1, 40), no, F.concat(word, F.lit(" "), plain), 0),
-        row(F.col("h"), F.concat(plain, F.lit("=")), word, 0),
-        row(F.substring("h", 1, 32), F.concat(plain, F.lit(":")), a, 0),
-        row(F.concat_ws("-", *[F.substring("h", p, k) for p, k in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))]), no, F.concat(word, F.lit(" uuid")), 0),
-        row(F.translate(F.substring("h", 1, 16), "abcdef", "123456"), no, F.concat(word, F.lit(" "), a), 0),
-        row(F.concat(a, F.lit("_"), b, F.lit("_"), a, F.substring("h", 1, 2), F.lit("1")), no, F.concat(word, F.lit(" "), b), 0),
-        row(F.concat(a, F.lit("/"), b, F.lit("/"), F.substring("h", 1, 12), F.lit("2")), F.lit("https://example.org/"), word, 0),
-        row(F.concat(F.lit("your_"), name, F.lit("_here_"), F.lit("1234")), F.concat(name, F.lit("=")), word, 0),
-        row(F.concat(F.repeat(F.lit("x"), 14), F.lit("1234")), F.concat(name, F.lit("=")), word, 0),
-        row(F.concat(a, F.lit("-"), b, F.lit("-"), F.translate(F.substring("h", 1, 6), "abcdef", "000000")), no, F.concat(word, F.lit(" version")), 0),
+def labelled_findings(spark: SparkSession, rows: int = 9000, seed: str = "finding") -> DataFrame:
+    """Labelled findings made by rule: a value of one of many kinds in one of many surroundings, drawn apart.
+
+    A random value is a secret where a secret's name assigns it, and everywhere if it has a service's mark; words, numbers,
+    dates, paths, placeholders and digests are none. Production passes its own findings.
+    """
+    number = lambda salt, n: F.pmod(F.xxhash64("h", F.lit(salt)), F.lit(n)).cast("int")
+    pick = lambda items, salt: F.element_at(F.array(*[F.lit(x) if isinstance(x, str) else x for x in items]), number(salt, len(items)) + 1)
+    n = number("length", 45) + 16
+    first = lambda text, size: F.substring(text, F.lit(1), size)
+    joined = lambda mark, size, salt: F.concat_ws(mark, *[pick(DICTIONARY, f"{salt}{i}") for i in range(size)])
+    syllable = lambda i: F.concat(
+        pick("b br ch d dr f fl g gr h k kl l m n p pr qu r s sch sp st t th tr v w z".split(), f"onset{i}"), pick("a e i o u ei ie au ou ea".split(), f"vowel{i}"),
+        pick(["", "", "", "n", "r", "s", "t", "ng", "nd", "rt", "st", "cht", "mpf"], f"coda{i}"),
+    )
+    hexa, b64, b62, digits, word, name, other, talk, quote = map(F.col, ("hexa", "b64", "b62", "digits", "word", "name", "other", "talk", "quote"))
+    marks = "AKIA ASIA ghp_ gho_ github_pat_ sk- sk_live_ rk_live_ xoxb- xoxp- glpat- AIza eyJ".split()
+    values = {  # 1: random, 2: random with a mark, 0: neither
+        "hex": (1, first(hexa, n)), "HEX": (1, F.upper(first(hexa, n))), "base64": (1, F.substring(b64, 1, 40)), "padded": (1, F.concat(F.substring(b64, 1, 43), F.lit("="))),
+        "wrapped": (1, F.concat(b64, F.substring(F.reverse(b64), 2, 100))), "base62": (1, first(b62, n)), "url": (1, first(F.translate(b64, "+/=", "-_"), n)),
+        "letters": (1, first(F.translate(b62, "0123456789", "qXzKvJpTyw"), n)), "lower": (1, first(F.lower(F.translate(b62, "0123456789", "qxzkvjptyw")), n)),
+        "upper": (1, first(F.upper(b62), n)), "small": (1, first(F.lower(b62), n)), "prefixed": (1, F.concat(first(F.lower(b62), number("prefix", 3) + 2), pick(["_", "-"], "mark"), F.substring(F.reverse(b62), F.lit(1), n))),
+        "marked": (2, F.concat(pick(marks, "service"), F.substring(F.reverse(b62), F.lit(4), n))), "MARKED": (2, F.concat(pick(["AKIA", "ASIA"], "cloud"), F.upper(F.translate(F.substring("g", 1, 16), "01", "yz")))),
+        "snake": (0, joined("_", 4, "s")), "kebab": (0, F.concat(joined("-", 4, "k"), F.lit("-"), F.substring(digits, 1, 4))), "path": (0, F.concat(joined("/", 4, "p"), F.lit("/"), F.substring("h", 1, 8))),
+        "camel": (0, F.replace(F.initcap(joined(" ", 4, "c")), F.lit(" "), F.lit(""))), "compound": (0, joined("", 4, "w")), "word": (0, word), "Word": (0, F.initcap(word)), "WORD": (0, F.upper(word)),
+        "digits": (0, first(digits, number("digits", 9) + 16)), "uuid": (0, F.concat_ws("-", *[F.substring("h", p, k) for p, k in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))])),
+        "date": (0, F.concat(F.lit("20"), F.substring(digits, 1, 2), F.lit("-0"), F.substring(digits, 3, 1), F.lit("-1"), F.substring(digits, 4, 1), F.lit("T10-2"), F.substring(digits, 5, 1), F.lit("-30"))),
+        "holder": (0, F.concat(F.lit("your_"), joined("_", 2, "h"), F.lit("_here"))), "same": (0, F.repeat(F.substring("h", 1, 1), 24)), "stars": (0, F.concat(F.repeat(F.lit("x"), 20), F.substring("h", 1, 2))),
+    }
+    around = []  # (whether a secret's name assigns the value, prefix, before)
+    for mine, what in ((1, name), (0, other)):
+        around += [
+            (mine, F.concat(what, pick(["=", ":", "=", ":="], "sign"), quote), talk), (mine, quote, F.concat(what, pick([" =", ":", " :", " = "], "sign"))),
+            (mine, F.concat(F.lit('"'), what, F.lit('":"')), talk), (mine, F.concat(what, F.lit("=")), talk), (mine, F.concat(F.lit("--"), what, F.lit("=")), talk),
+            (mine, F.concat(F.lit("<"), what, F.lit(">")), talk), (mine, F.concat(pick(["?", "&", "."], "field"), what, F.lit("=")), talk),
+        ]
+    around += [(1, F.lit(""), F.concat(F.lit("Authorization: "), pick(["Bearer", "bearer", "token"], "scheme"))), *[(1, F.lit(""), F.lit("PRIVATE KEY-----"))] * 2]
+    around += [(0, F.lit(""), talk)] * 5 + [(0, pick(['"', "(", "https://example.org/", "/usr/lib/", "-"], "lead"), talk), (0, F.lit(""), F.concat(pick(DICTIONARY, "t4"), F.lit(" "), other))]
+    value = F.array(*[F.struct(F.lit(kind).alias("kind"), v.alias("value")) for kind, v in values.values()])
+    place = F.array(*[F.struct(F.lit(mine).alias("mine"), p.alias("prefix"), b.alias("before")) for mine, p, b in around])
+    # Layer by layer, so that no expression is spelled out within another again and again.
+    owned = F.concat(pick(["", "", "db_", "MY_", "aws_", "x-", "client_"], "own"), pick("password passwd pwd secret token api_key apikey access_key auth credential private_key bearer secret_key".split(), "name"))
+    layers = [
+        {"h": F.sha2(F.concat(F.lit(seed), F.col("id").cast("string")), 256)},
+        {"g": F.sha2("h", 512)},
+        {"hexa": F.concat("h", "g"), "digits": F.translate("g", "abcdef", "012345")},
+        {"b64": F.regexp_replace(F.base64(F.unhex("hexa")), "[\r\n]", "")},
+        {"b62": F.translate("b64", "+/=", "aB")},
+        {
+            "word": F.concat(*[syllable(i) for i in range(6)], F.when(number("long", 2) == 0, F.concat(*[syllable(i) for i in range(6, 9)])).otherwise("")),
+            "name": F.when(number("case", 4) == 0, F.upper(owned)).otherwise(owned),
+            "other": pick("name title label color file image path href commit sha256 md5 checksum revision digest etag hash build blob integrity uuid id version order card phone page user".split(), "other"),
+            "talk": F.concat(pick(DICTIONARY, "t1"), F.lit(" "), pick(["and", "the", "und", "with", "les", "que", "of"], "t2")),
+            "quote": pick(['"', "'", ""], "quote"),
+        },
+        {"v": F.element_at(value, number("value", len(values)) + 1), "p": F.element_at(place, number("place", len(around)) + 1)},
     ]
-    return base.select(F.element_at(F.array(*kinds), (F.pmod(F.col("id"), F.lit(len(kinds))) + 1).cast("int")).alias("f")).select("f.*").where(F.length("value") >= LEAST)
+    drawn = spark.range(rows)
+    for layer in layers:
+        drawn = drawn.withColumns(layer)
+    label = ((F.col("v.kind") == 2) | (F.col("v.kind") == 1) & (F.col("p.mine") == 1)).cast("int")
+    drawn = materialize(drawn.select("v.value", "p.prefix", "p.before", F.lit("").alias("after"), label.alias("label")), "findings")
+    return drawn.where(F.length("value") >= LEAST)
 
 
 def scan(df: DataFrame, forest: list[Node], id_col: str = "doc_id", text_col: str = "text", at: float = 0.5) -> DataFrame:
@@ -200,10 +242,12 @@ def scan(df: DataFrame, forest: list[Node], id_col: str = "doc_id", text_col: st
 
     Returns id_col, place int (word of the text, from 0), kind string (known format, or generic), masked string
     (the first four characters and the length), value_sha256, score double; one row for each occurrence, so repeated
-    rows repeat. Null and empty texts and empty tables have no findings. No shuffle.
+    rows repeat. Null and empty texts and empty tables have no findings. No shuffle; candidates are written once.
     """
     votes = sum((t.column() for t in forest[1:]), forest[0].column()) / F.lit(float(len(forest)))
-    rows = features(candidates(df, id_col, text_col)).withColumn("score", F.round(votes, 6)).where(F.col("score") >= at)
+    # Written, as the filter on the votes would spell out every feature again at each split of a tree.
+    rows = materialize(features(candidates(df, id_col, text_col)), "candidates")
+    rows = rows.withColumn("score", F.round(votes, 6)).where(F.col("score") >= at)
     v = F.col("value")
     kind = (
         F.when(v.rlike("^(?:AKIA|ASIA)[A-Z0-9]{16}$"), "cloud access key").when(v.rlike("^(?:ghp_|gho_|github_pat_|glpat-)"), "repository token")
