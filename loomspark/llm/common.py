@@ -11,7 +11,11 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+#: Largest table that :func:`sent_if_small` marks for broadcast.
+BROADCAST_BYTES = 32 << 20
 
 _written: dict[str, SparkSession] = {}
 
@@ -41,6 +45,13 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return out
 
 
+def sent_if_small(df: DataFrame, row_bytes: int | Column) -> DataFrame:
+    """A written table, marked for broadcast if its rows take at most BROADCAST_BYTES as counted (or summed, where rows
+    differ in size); a larger one is joined by shuffles."""
+    size = df.agg(F.sum(row_bytes)).first()[0] or 0 if isinstance(row_bytes, Column) else df.count() * row_bytes
+    return F.broadcast(df) if size <= BROADCAST_BYTES else df
+
+
 def drop(df: DataFrame) -> None:
     """Deletes a table that :func:`materialize` wrote and that nothing reads any more."""
     _delete(df.sparkSession, getattr(df, "_written_to", None))

@@ -44,20 +44,53 @@ def test_search_with_copies_ties_and_unusable_vectors(spark):
     rows = [(i, same) for i in range(60)] + [(100 + i, rng.normal(size=4).astype("float32").tolist()) for i in range(40)]
     rows += [(200, None), (201, [0.0] * 4), (202, [1.0, None, 0.0, 0.0]), (203, [float("nan")] * 4), (204, [float("inf"), 0.0, 0.0, 0.0]), (205, [1.0]), (0, same)]
     df = spark.createDataFrame([(i, v, "x") for i, v in rows], "vec_id long, embedding array<float>, q string")
-    found = ann.search(df, df.where("vec_id % 20 = 0"), k=20, rows_per_list=10, sample_rows=64)
+    found = ann.search(df, df.where("vec_id % 20 = 0"), k=20, target=1.0, deviations=9.0, sample_rows=16)
     got = {}
     for r in found.collect():
         got.setdefault(r.query_id, {})[r["rank"]] = r.vec_id
     usable = [(i, v) for i, v in dict(rows[:100]).items()]
     ids, x = [i for i, _ in usable], np.array([v for _, v in usable], dtype=float)
     assert set(got) == {0, 20, 40, 100, 120}
-    for q in got:  # the sample holds all distinct vectors, so the search is exact
+    for q in got:  # all are tried, so the probed lists hold every neighbour
         assert [got[q][r] for r in range(1, 21)] == [w[0] for w in nearest(ids, x, q, 20)]
     assert ann.search(df.limit(0), df.limit(0)).count() == 0
     few = ann.search(df.where("vec_id in (0, 1, 100)"), df.where("vec_id = 0"), k=20)
     assert sorted(r.vec_id for r in few.collect()) == [1, 100]
 
 
+@pytest.mark.parametrize("kind", ["even", "clustered", "hot"])
+def test_search_recall_from_lists_alone(spark, kind):
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(3000, 24))
+    if kind == "clustered":
+        x = x * 0.2 + rng.normal(size=(30, 24))[rng.integers(30, size=3000)]
+    if kind == "hot":
+        x[: 3000 // 3] = x[0]
+    x = x.astype("float32")
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>")
+    got = {}
+    for r in ann.search(df, df.where("vec_id % 20 = 0"), sample_rows=256).collect():
+        got.setdefault(r.query_id, []).append((r["rank"], r.vec_id, r.score))
+    assert sorted(got) == list(range(0, 3000, 20)) and all(len(f) == 20 for f in got.values())
+    x, share = x.astype(float), []
+    for q, found in got.items():
+        score = x @ x[q]
+        assert all(abs(score[v] - s) < 1e-6 for _, v, s in found) and q not in {v for _, v, _ in found}
+        want = [i for i in np.lexsort((np.arange(3000), -score)) if i != q][:20]
+        share.append(len({v for _, v, _ in found} & set(want)) / 20)
+    assert np.mean(share) >= 0.9
+
+
+def test_blocks_without_probed_entries_are_empty(spark):
+    """A block can meet queries of which none probes its entries."""
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(40, 8)).astype("float32")
+    index = ann.fit(x, 4, 2)
+    cells = index.cells(x)
+    found = ann.best_of(index, x[:3], x, cells, index.codes(x, cells), np.zeros(40), np.arange(40), np.zeros((3, 4), dtype=bool), 5, 2.0)
+    assert [len(part) for part in found] == [0, 0, 0]
+
+
 def least_capacity(sizes, shards):
     def need(c):
         used, room = 1, c
@@ -266,6 +299,32 @@ def test_toxicity_on_planted_insults(spark):
     assert {r.score for r in toxicity.score(rough(spark), nothing).collect()} == {0.0}
 
 
+def test_kernel_is_the_sum_over_common_gapped_subsequences():
+    """Plain definition: subsequences of 3 within 5 characters, and of 5 and 7 with one skipped at most, weighted by decay.
+    A word's length counts each occurrence apart."""
+    words = ["moron", "m.o.r.o.n", "mooron", "stupidity", "stupid", "привет", "превед", "réeuxen", "xy", "abcdefghijklmnopqrst"]
+
+    def weights(word):
+        out, text, square = {}, "^" + word, 0.0
+        for places, weight in toxicity.STEPS:
+            for at in range(len(text) - places[-1]):
+                key = (text[at], *(text[at + p] for p in places))
+                out[key] = out.get(key, 0.0) + weight
+                square += weight * weight
+        return out, np.sqrt(square) or 1.0
+
+    plain, norm = zip(*map(weights, words))
+    dot = lambda a, b: sum(x * b.get(k, 0.0) for k, x in a.items())
+    ids, owner = toxicity._ids(words)
+    assert owner.tolist() == list(range(len(words)))
+    used, base = toxicity.landmarks_of(ids)
+    got = toxicity.kernel(ids, used, base)
+    for i, a in enumerate(plain):
+        for j, b in enumerate(plain):
+            assert abs(got[i, j] - dot(a, b) / norm[i] / norm[j]) < 0.02, (words[i], words[j])
+    assert got[0, 2] > 0.4 > got[0, 3] and got[5, 6] > 0.1
+
+
 def test_pipeline_keeps_one_of_each_group_of_near_copies(spark, sf_dir):
     rng = random.Random(4)
     texts = []
