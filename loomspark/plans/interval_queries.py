@@ -69,17 +69,6 @@ def pack_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return V.pack(event_intervals(spark, sf_dir), ["user_id"], CAP, GAP)
 
 
-@register("segment_regions")
-def segment_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = event_intervals(spark, sf_dir)
-    return V.segment(rows, ["user_id"], _limits(rows), longest=CAP, shortest=HOUR, padding=HOUR, join_gap=GAP)
-
-
-@register("pack_events")
-def pack_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return V.pack_events(event_intervals(spark, sf_dir), ["user_id"], max_span=4 * HOUR, minimum=HOUR // 2, slack=2 * HOUR)
-
-
 @register(
     "gap_sessions",
     f"""with r as ({_ROWS}), w as (select *, max(e) over (partition by user_id order by s, e rows between unbounded preceding and 1 preceding) as reach from r),
@@ -130,12 +119,6 @@ def replicate_pool_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
     return V.smoothed_mean(frames(spark, sf_dir), ["vec_id"], 7).select("vec_id", "idx", (F.round("smooth", 5) + 0.0).alias("smooth"))
 
 
-@register("collapsed_peaks")
-def collapsed_peaks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    peaks = V.local_peaks(frames(spark, sf_dir), ["vec_id"], 3, F.lit(0.0))
-    return V.collapsed_peaks(peaks, ["vec_id"], 5)
-
-
 @register(
     "context_step",
     f"""with f as ({_FRAMES}), w as (select *, avg(value) over (partition by vec_id order by idx rows between 6 preceding and 1 preceding) as l,
@@ -148,16 +131,9 @@ def context_step(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register(
     "positive_flux",
-    """with f as (select label, vec_id as idx, list_transform(embedding[1:8], lambda x: x::double) as s, lag(list_transform(embedding[1:8], lambda x: x::double)) over (partition by label order by vec_id) as p from embeddings)
+    """with f as (select label, vec_id as idx, list_transform(embedding, lambda x: x::double) as s, lag(list_transform(embedding, lambda x: x::double)) over (partition by label order by vec_id) as p from embeddings)
 select label, idx, round(coalesce(sqrt(list_sum(list_transform(list_zip(s, p), lambda z: power(greatest(z[1] - z[2], 0), 2)))), 0), 6) as flux from f""",
 )
 def positive_flux(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "embeddings").select("label", F.col("vec_id").alias("idx"), F.slice("embedding", 1, 8).alias("spectrum"))
+    rows = table(spark, sf_dir, "embeddings").select("label", F.col("vec_id").alias("idx"), F.col("embedding").alias("spectrum"))
     return V.positive_flux(rows, ["label"]).select("label", "idx", F.round("flux", 6).alias("flux"))
-
-
-@register("fragment_segmentation")
-def fragment_segmentation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from loomspark.operators.segmentation import segment_frames
-
-    return segment_frames(frames(spark, sf_dir), "vec_id", hop=0.1, shortest=1.2, longest=2.5)

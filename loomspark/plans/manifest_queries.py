@@ -251,7 +251,12 @@ def replica_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return S.replica_shards(S.shuffled(events, "event_id", 5), 7, events.count()).select("event_id", "pos", "replica")
 
 
-@register("weighted_pick")
+@register(
+    "weighted_pick",
+    """with r as (select s_suppkey, s_acctbal as w, unnest(range(0, 50)) as pick from supplier where s_acctbal > 0),
+t as (select pick, s_suppkey, -ln((cast('0x' || substr(md5('1:' || pick || ':' || s_suppkey), 1, 12) as bigint) + 1) / 281474976710656.0::double) / w as t from r)
+select cast(pick as integer) as pick, arg_min(s_suppkey, t) as s_suppkey from t group by pick""",
+)
 def weighted_pick(spark: SparkSession, sf_dir: str) -> DataFrame:
     return S.weighted_pick(table(spark, sf_dir, "supplier").withColumn("w", F.greatest("s_acctbal", F.lit(0.0))), "s_suppkey", "w", 50, 1)
 
@@ -302,11 +307,11 @@ def proposal_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register(
     "correction_rollup",
     """select kind, outcome, force_review, count(*) as items from (select case when role = 'user' then 'speech' else 'nonverbal' end as kind,
-  case when turn % 3 = 0 then 'missing' when turn % 3 = 1 then 'unchanged' else 'accepted' end as outcome, turn % 3 = 1 and role = 'user' as force_review
-  from conversations where length(text) > 40) group by all""",
+  case when turn % 3 = 0 then 'missing' when turn % 3 = 1 then 'unchanged' when regexp_matches(text, '[\\p{L}\\p{M}\\p{N}]') then 'accepted' else 'rejected_unsafe' end as outcome, turn % 3 = 1 and role = 'user' as force_review
+  from conversations where coalesce(trim(text), '') <> '') group by all""",
 )
 def correction_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _streams(spark, sf_dir).join(table(spark, sf_dir, "conversations").where(F.length("text") > 40).select(F.concat_ws("-", "conv_id", "turn").alias("id"), "turn"), "id")
+    rows = _streams(spark, sf_dir).join(table(spark, sf_dir, "conversations").select(F.concat_ws("-", "conv_id", "turn").alias("id"), "turn"), "id")
     made = rows.where("turn % 3 <> 0").select(
         "id", F.when(F.col("turn") % 3 == 1, F.col("text")).otherwise(F.concat(F.col("text"), F.lit("!"))).alias("corrected_text"), F.lit("corrected").alias("status"),
         F.when(F.col("turn") % 3 == 1, "other").otherwise("speech").alias("category"),
