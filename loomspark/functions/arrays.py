@@ -17,12 +17,50 @@ def masked_mean(x: Column, mask: Column) -> Column:
     return total(hits) / F.greatest(F.size(F.filter(mask, lambda m: m)).cast("double"), F.lit(1.0))
 
 
+def step_mse(a: Column, b: Column) -> Column:
+    """Squared difference of two sequences of vectors, as a mean for each step."""
+    square = lambda u, v: F.aggregate(F.zip_with(u, v, lambda p, q: p.cast("double") - q.cast("double")), F.lit(0.0), lambda s, d: s + d * d)
+    return F.zip_with(a, b, lambda u, v: square(u, v) / F.size(u))
+
+
 def masked_mse(a: Column, b: Column, mask: Column) -> Column:
-    """Mean squared difference where the mask holds."""
+    """Mean squared difference of two sequences of numbers where the mask holds."""
     square = F.zip_with(a, b, lambda u, v: (u - v).cast("double") * (u - v).cast("double"))
     return masked_mean(square, mask)
 
 
+def utterance_mean_mse(error: Column, valid: Column) -> Column:
+    """Aggregate: each row's mean error over its valid steps (at least 1), then the mean of the rows."""
+    return F.avg(masked_mean(error, valid))
+
+
+def ratio_normalized_mse(error: Column, counted: Column, valid: Column) -> Column:
+    """Aggregate: the mean of counted errors over all steps, by the share of steps both counted and valid.
+
+    A row without a valid step adds nothing to that share, which is at least 1e-6.
+    """
+    weight = lambda m: F.when(m, F.lit(1.0)).otherwise(F.lit(0.0))
+    steps = F.sum(F.size(error))
+    errors = F.sum(total(F.zip_with(error, counted, lambda e, m: e * weight(m))))
+    both = F.sum(total(F.zip_with(counted, valid, lambda m, v: weight(m & v))))
+    return errors / steps / F.greatest(both / steps, F.lit(1e-6))
+
+
+def replaced_last(x: Column, value: Column) -> Column:
+    """An array with another last element, as the speaker flag of duration features."""
+    return F.concat(F.slice(x, 1, F.greatest(F.size(x) - 1, F.lit(0))), F.array(value))
+
+
+def velocity(x0: Column, x1: Column) -> Column:
+    """Direction from x0 to x1, element by element."""
+    return F.zip_with(x0, x1, lambda a, b: b.cast("double") - a.cast("double"))
+
+
+def origin(xt: Column, v: Column, t: float) -> Column:
+    """Where a straight path started that is at xt at time t with this velocity."""
+    return F.zip_with(xt, v, lambda x, d: x.cast("double") - t * d.cast("double"))
+
+
 def peak(x: Column) -> Column:
     """Largest absolute value, 0 if empty."""
     return F.coalesce(F.array_max(F.transform(x, lambda v: F.abs(v.cast("double")))), F.lit(0.0))
@@ -93,9 +131,14 @@ def ema(values: Column, decay: float) -> Column:
     return F.aggregate(F.slice(values, 2, F.greatest(F.size(values) - 1, F.lit(0))), start, lambda a, v: a + (1 - decay) * (v.cast("double") - a))
 
 
+def raised_cosine_ramp(i: Column, n: Column) -> Column:
+    """Step i (from 0) of a rise from 0 towards 1 in n steps."""
+    return 0.5 - 0.5 * F.cos(F.lit(3.141592653589793) * i / n)
+
+
 def raised_cosine(n: int, rising: bool = True) -> Column:
-    """Fade of n steps between 0 and 1."""
-    up = F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda i: 0.5 - 0.5 * F.cos(F.lit(3.141592653589793) * (i + 1) / (n + 1)))
+    """Fade of n steps from 0 towards 1, or back."""
+    up = F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda i: raised_cosine_ramp(i, F.lit(n)))
     return up if rising else F.reverse(up)
 
 

@@ -49,17 +49,40 @@ def collapse_whitespace(text: Column) -> Column:
 
 
 @F.pandas_udf(StringType())
-def nfc(text: pd.Series) -> pd.Series:
-    """Unicode normal form C."""
+def _nfc(text: pd.Series) -> pd.Series:
     return text.map(lambda t: None if t is None else unicodedata.normalize("NFC", t))
 
 
 @F.pandas_udf(StringType())
-def nfkc(text: pd.Series) -> pd.Series:
-    """Unicode normal form KC."""
+def _nfkc(text: pd.Series) -> pd.Series:
     return text.map(lambda t: None if t is None else unicodedata.normalize("NFKC", t))
 
 
+@F.pandas_udf(StringType())
+def _casefolded(text: pd.Series) -> pd.Series:
+    return text.map(lambda t: None if t is None else t.casefold())
+
+
+def beyond_ascii(text: Column, change, plain=lambda t: t) -> Column:
+    """A change that Spark lacks, for texts beyond ASCII only; ASCII texts reach Python as nulls and stay, or change by `plain`."""
+    return F.coalesce(change(F.when(text.rlike(r"[^\x00-\x7f]"), text)), plain(text))
+
+
+def nfc(text: Column) -> Column:
+    """Unicode normal form C."""
+    return beyond_ascii(text, _nfc)
+
+
+def nfkc(text: Column) -> Column:
+    """Unicode normal form KC."""
+    return beyond_ascii(text, _nfkc)
+
+
+def casefolded(text: Column) -> Column:
+    """Case-folded text, for sort keys and comparison."""
+    return beyond_ascii(text, _casefolded, F.lower)
+
+
 def normalize_transcript(text: Column) -> Column:
     """NFC, then :func:`collapse_whitespace`."""
     return collapse_whitespace(nfc(text))

@@ -129,15 +129,38 @@ def local_peaks(frames: DataFrame, keys: list[str], radius: int, threshold: Colu
 
 
 def smoothed_mean(frames: DataFrame, keys: list[str], kernel: int) -> DataFrame:
-    """Centred mean over an odd kernel with edge values repeated. frames: keys, idx from 0, value."""
-    half = kernel // 2
+    """Centred mean over an odd kernel with edge values repeated; a kernel is cut to 2 n - 1. frames: keys, idx from 0, value."""
     own = Window.partitionBy(*keys)
     order = own.orderBy("idx")
-    frame = order.rowsBetween(-half, half)
+    n = F.count("*").over(own)
+    half = F.least(F.lit(kernel // 2), n - 1)
+    frame = order.rowsBetween(-(kernel // 2), kernel // 2)
     whole = order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    left = F.greatest(F.lit(half) - F.col("idx"), F.lit(0)) * F.first("value").over(whole)
-    right = F.greatest(F.col("idx") + half - (F.count("*").over(own) - 1), F.lit(0)) * F.last("value").over(whole)
-    return frames.withColumn("smooth", (F.sum("value").over(frame) + left + right) / kernel)
+    left = F.greatest(half - F.col("idx"), F.lit(0)) * F.first("value").over(whole)
+    right = F.greatest(F.col("idx") + half - (n - 1), F.lit(0)) * F.last("value").over(whole)
+    return frames.withColumn("smooth", (F.sum("value").over(frame) + left + right) / (2 * half + 1))
+
+
+def smoothed_max(frames: DataFrame, keys: list[str], kernel: int) -> DataFrame:
+    """Centred maximum over an odd kernel; repeated edge values change nothing. frames: keys, idx, value."""
+    around = Window.partitionBy(*keys).orderBy("idx").rowsBetween(-(kernel // 2), kernel // 2)
+    return frames.withColumn("smooth", F.max("value").over(around))
+
+
+def cosine_novelty(frames: DataFrame, keys: list[str], context: int, spectrum: str = "spectrum") -> DataFrame:
+    """frames (keys, idx from 0, an array) with `novelty`: 1 less the cosine of the mean spectra before and from each frame on; 0 near the ends.
+
+    Bins are rows while the means are taken, so a mean is a window over numbers.
+    """
+    own = Window.partitionBy(*keys)
+    sized = frames.withColumn("__n", F.count("*").over(own))
+    order = Window.partitionBy(*keys, "__bin").orderBy("idx")
+    bins = sized.select(*keys, "idx", "__n", F.posexplode(spectrum).alias("__bin", "__v"))
+    means = bins.select(*keys, "idx", "__n", F.avg("__v").over(order.rowsBetween(-context, -1)).alias("l"), F.avg("__v").over(order.rowsBetween(0, context - 1)).alias("r"))
+    inside = (F.col("idx") >= context) & (F.col("idx") < F.col("__n") - context)
+    size = lambda c: F.greatest(F.sqrt(F.sum(F.col(c) * F.col(c))), F.lit(1e-8))
+    novelty = means.where(inside).groupBy(*keys, "idx").agg((1 - F.sum(F.col("l") * F.col("r")) / (size("l") * size("r"))).alias("novelty"))
+    return frames.join(novelty, [*keys, "idx"], "left").withColumn("novelty", F.coalesce("novelty", F.lit(0.0)))
 
 
 def collapsed_peaks(peaks: DataFrame, keys: list[str], radius: int) -> DataFrame:

@@ -90,6 +90,14 @@ def namespaced_speaker(namespace: str, *parts: Column) -> Column:
     return F.when(joined != "", F.concat(F.lit(f"{namespace}:"), joined))
 
 
+def name_group(name: Column, patterns: dict[str, str], otherwise: str) -> Column:
+    """The first group whose pattern a name holds, for parameters by name (adapters, decayed or not)."""
+    out = None
+    for group, pattern in patterns.items():
+        out = F.when(name.rlike(pattern), group) if out is None else out.when(name.rlike(pattern), group)
+    return F.lit(otherwise) if out is None else out.otherwise(otherwise)
+
+
 def work_of(speaker: Column) -> Column:
     """The first work code in a speaker id, upper-cased; the id itself if there is none."""
     return F.coalesce(F.nullif(F.upper(F.regexp_extract(speaker, r"(?i)RJ\d+", 0)), F.lit("")), speaker)

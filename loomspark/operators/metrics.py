@@ -25,8 +25,8 @@ def conditional_means(values: dict[str, Column], speaker: Column, caption: Colum
 
 
 def weighted_mean(value: Column, weight: Column) -> Column:
-    """Sum of value * weight over the sum of weights."""
-    return F.sum(value * weight) / F.sum(weight)
+    """Sum of value * weight over the sum of weights, which counts as 1 at least."""
+    return F.sum(value * weight) / F.greatest(F.sum(weight).cast("double"), F.lit(1.0))
 
 
 def trailing_mean(value: Column, keys: list[str], order: list[str], rows: int = 20) -> Column:

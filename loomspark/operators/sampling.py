@@ -15,10 +15,23 @@ def draw(seed: int | str, key: Column) -> Column:
     return F.md5(F.concat(F.lit(f"{seed}:"), key.cast("string")))
 
 
+#: Rows of a bucket that are numbered in one task, and hexadecimal digits that name a bucket at most (65,536 buckets).
+BUCKET_ROWS, MOST_DIGITS = 100_000, 4
+
+
+def bucket_digits(rows: int) -> int:
+    """Leading hexadecimal digits of a hash that deal so many rows into buckets of bounded size."""
+    digits = 2
+    while digits < MOST_DIGITS and rows > BUCKET_ROWS * 16**digits:
+        digits += 1
+    return digits
+
+
 def ranked(df: DataFrame, order: list[Column], bucket: Column, buckets: int = 256) -> DataFrame:
     """df with `pos`, the place (from 0) in a total order of which `bucket` is a monotone coarse part (0 to buckets-1).
 
-    Rows are numbered within buckets; offsets come from a table of `buckets` counts.
+    Rows are numbered within buckets; offsets come from a table of `buckets` counts, so there should be more of them the
+    more rows there are (:func:`bucket_digits`).
     """
     cut = df.withColumn("__b", bucket.cast("int"))
     counts = cut.groupBy("__b").agg(F.count("*").alias("n"))
@@ -30,8 +43,9 @@ def ranked(df: DataFrame, order: list[Column], bucket: Column, buckets: int = 25
 
 def shuffled(df: DataFrame, key: str, seed: int) -> DataFrame:
     """df with `pos`, its place in a seeded permutation."""
-    code = draw(seed, F.col(key))
-    return ranked(df.withColumn("__d", code), [F.col("__d"), F.col(key)], F.conv(F.substring("__d", 1, 2), 16, 10)).drop("__d")
+    digits = bucket_digits(df.count())
+    bucket = F.conv(F.substring("__d", 1, digits), 16, 10)
+    return ranked(df.withColumn("__d", draw(seed, F.col(key))), [F.col("__d"), F.col(key)], bucket, 16**digits).drop("__d")
 
 
 def row_split(df: DataFrame, key: str, ratio: float, seed: int) -> DataFrame:
@@ -78,11 +92,23 @@ def group_split(df: DataFrame, key: str, group: str, ratio: float, seed: int) ->
 
 
 def balanced(df: DataFrame, key: str, category: str, seed: int, epoch: int = 0) -> DataFrame:
-    """Every category cut to the size of the smallest, without replacement, drawn anew each epoch; null is a category."""
+    """Every category cut to the size of the smallest, without replacement, drawn anew each epoch; null is a category.
+
+    Rows are drawn by the order of a hash. Counts of its leading digits tell in which bucket a category's last drawn row
+    lies: buckets before it go in whole, and only that bucket's rows are numbered, so no task holds a category.
+    """
     counts = df.groupBy(category).agg(F.count("*").alias("n"))
-    least = counts.agg(F.min("n")).first()[0] or 0
-    place = F.row_number().over(Window.partitionBy(category).orderBy(draw(seed + epoch, F.col(key)), key))
-    return df.withColumn("__k", place).where(F.col("__k") <= least).drop("__k")
+    least, most = counts.agg(F.min("n"), F.max("n")).first()
+    digits = bucket_digits(most or 0)
+    cut = df.withColumn("__d", draw(seed + epoch, F.col(key))).withColumn("__b", F.conv(F.substring("__d", 1, digits), 16, 10).cast("int"))
+    sizes = cut.groupBy(F.col(category).alias("__c"), "__b").agg(F.count("*").alias("__n"))
+    upto = F.sum("__n").over(Window.partitionBy("__c").orderBy("__b"))  # at most 16**digits rows a category
+    quota = sizes.withColumn("__q", F.lit(least or 0) - (upto - F.col("__n"))).where("__q > 0").select("__c", F.col("__b").alias("__b2"), "__n", "__q")
+    drawn = cut.join(quota, F.col(category).eqNullSafe(F.col("__c")) & (F.col("__b") == F.col("__b2")))
+    whole = drawn.where("__q >= __n").select(*df.columns)
+    place = F.row_number().over(Window.partitionBy("__c", "__b").orderBy("__d", key))
+    last = drawn.where("__q < __n").withColumn("__k", place).where("__k <= __q").select(*df.columns)
+    return whole.unionByName(last)
 
 
 def length_batches(df: DataFrame, key: str, length: str, batch: int, windows: int, seed: int) -> DataFrame:

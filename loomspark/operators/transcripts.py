@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loomspark.functions.text import collapse_whitespace, compact, similarity
+from loomspark.functions.text import casefolded, collapse_whitespace, compact, normalize_transcript, similarity
 from loomspark.operators.review import outcome, safe_change
 from loomspark.operators.timeline import NO_START
 
@@ -21,10 +24,11 @@ def finite(value: Column, fallback: Column) -> Column:
 
 
 def source_uid(uid: Column, path: Column) -> Column:
-    """The uid, else ``path:`` and the lower-cased path with forward slashes; null if there is neither."""
+    """The uid, else ``path:`` and the case-folded path with forward slashes; a row with neither fails the job."""
     named = F.nullif(F.trim(uid), F.lit(""))
     by_path = F.nullif(F.trim(path), F.lit(""))
-    return F.coalesce(named, F.concat(F.lit("path:"), F.lower(F.replace(by_path, F.lit("\\"), F.lit("/")))))
+    nameless = F.raise_error(F.lit("a row needs a source uid or a path")).cast("string")
+    return F.when(named.isNotNull(), named).when(by_path.isNotNull(), F.concat(F.lit("path:"), casefolded(F.replace(by_path, F.lit("\\"), F.lit("/"))))).otherwise(nameless)
 
 
 def timeline_rows(speech: DataFrame, nonverbal: DataFrame) -> DataFrame:
@@ -59,27 +63,83 @@ def check_proposals(targets: DataFrame, proposals: DataFrame, statuses: list[str
 
 
 def resolve(timeline: DataFrame, proposals: DataFrame) -> DataFrame:
-    """timeline with outcome, new text, ratio and whether review is forced; a left join, so every item keeps a row.
+    """timeline with outcome, final text, and what the change was judged by; a left join, so every item keeps a row.
 
     proposals: id, corrected_text, status, category. Category is speech by default; other forces review for the speech stream.
-    A change is safe if similarity and length ratio of the compact texts, and the raw length ratio, are in bounds.
+    A proposal is normalized first. A change is safe if similarity and length ratio of the compact texts, and the raw length
+    ratio, are in bounds; similarity and length_ratio are 1 where no change was judged.
     """
-    made = proposals.select("id", F.col("corrected_text").alias("after"), F.col("status").alias("proposed"), "category", F.lit(True).alias("found"))
+    made = proposals.select("id", normalize_transcript(F.col("corrected_text")).alias("after"), F.col("corrected_text").alias("suggested"), F.col("status").alias("proposed"), F.col("category").alias("proposed_category"), F.lit(True).alias("found"))
     rows = timeline.join(made, "id", "left")
     rows = rows.withColumn("compact_before", compact("text")).withColumn("compact_after", compact("after"))
-    ratio = similarity("compact_before", "compact_after")
-    safe = safe_change(F.length("text"), F.length("after"), F.length("compact_before"), F.length("compact_after"), ratio)
+    rows = rows.withColumn("ratio", similarity("compact_before", "compact_after"))
+    safe = safe_change(F.length("text"), F.length("after"), F.length("compact_before"), F.length("compact_after"), F.col("ratio"))
     rows = rows.withColumn("outcome", outcome(F.col("found"), F.col("proposed"), F.col("text"), F.col("after"), safe))
-    category = F.coalesce("category", F.lit("speech"))
+    judged = F.col("outcome").isin("accepted", "rejected_unsafe")
+    lengths = F.length("compact_after") / F.greatest(F.length("compact_before"), F.lit(1))
+    forced = (F.coalesce(F.col("proposed_category"), F.lit("speech")) == "other") & (F.col("kind") == "speech")
     return rows.select(
         *timeline.columns, "outcome", F.when(F.col("outcome") == "accepted", F.col("after")).otherwise(F.col("text")).alias("final_text"),
-        category.alias("category"), ((category == "other") & (F.col("kind") == "speech")).alias("force_review"),
+        F.coalesce("proposed_category", F.lit("speech")).alias("category"), forced.alias("force_review"), "suggested", "proposed",
+        F.when(judged, F.bround("ratio", 6)).otherwise(1.0).alias("similarity"), F.when(judged, F.bround(lengths, 6)).otherwise(1.0).alias("length_ratio"),
     )
 
 
+def corrected_rows(clips: DataFrame, resolved: DataFrame) -> DataFrame:
+    """Speech clips (id, text, status, review_reasons, ...) with their outcome: text, category, and review for category other.
+
+    Clips that the timeline lacks (without text) stay untouched.
+    """
+    own = resolved.where("kind = 'speech'").select("id", F.col("text").alias("__raw"), "final_text", F.col("category").alias("__category"), "force_review", "outcome")
+    rows = clips.join(own, "id", "left")
+    forced, seen = F.coalesce("force_review", F.lit(False)), F.col("outcome").isNotNull()
+    reasons = F.coalesce("review_reasons", F.array().cast("array<string>"))
+    new = {
+        "text": F.coalesce("final_text", "text"), "asr_text_raw": F.col("__raw"), "correction": F.col("outcome"),
+        "status": F.when(forced, "review").otherwise(F.col("status")), "review_reasons": F.when(forced, F.array_union(reasons, F.array(F.lit("llm_category_other")))).otherwise(F.col("review_reasons")),
+        "category": F.when(seen, F.col("__category")).otherwise(F.col("category") if "category" in clips.columns else F.lit(None)),
+    }
+    kept = [c for c in clips.columns if c not in new]
+    return rows.select(*kept, *[v.alias(c) for c, v in new.items()])
+
+
 def change_log(resolved: DataFrame) -> DataFrame:
-    """Accepted changes: id, kind, source, times, text before and after."""
-    return resolved.where("outcome = 'accepted'").select("id", "kind", "source_uid", "start", "end", F.col("text").alias("before"), F.col("final_text").alias("after"))
+    """Accepted, rejected and uncertain proposals: id, kind, source, times, outcome, text before and after, what was suggested, and the figures."""
+    changed = resolved.where("outcome in ('accepted', 'rejected_unsafe', 'uncertain')")
+    return changed.select("id", "kind", "source_uid", "start", "end", "outcome", F.col("text").alias("before"), F.col("final_text").alias("after"), "suggested", "similarity", "length_ratio", "category")
+
+
+def correction_summary(resolved: DataFrame, batches: DataFrame) -> DataFrame:
+    """One row: segments and their outcomes, batches and how many failed. batches: status (ok or failed)."""
+    counts = [F.count_if(F.col("outcome") == o).alias(o) for o in ("accepted", "unchanged", "uncertain", "rejected_unsafe", "missing")]
+    audit = batches.agg(F.count("*").alias("batches"), F.count_if(F.col("status") == "ok").alias("batches_completed"), F.count_if(F.col("status") == "failed").alias("batches_failed"))
+    return resolved.agg(F.count("*").alias("timeline_segments"), *counts).join(audit)  # one row each
+
+
+def answered(batches: DataFrame, agents: list[tuple[str, Callable[[str], str]]], attempts: int = 2, source: str = "source_uid", payload: str = "payload") -> DataFrame:
+    """(source, ordinal, status, agent, attempt, result, error) of each batch: the first answer of the agents, in order of preference.
+
+    Each agent has so many attempts; a batch that none answers is failed with the last error, and stops no other. Calls run in the
+    tasks that hold the batches.
+    """
+    kind = batches.schema[source].dataType.simpleString()
+
+    def one(text: str) -> tuple:
+        error = "no agent"
+        for name, call in agents:
+            for attempt in range(1, attempts + 1):
+                try:
+                    return "ok", name, attempt, call(text), None
+                except Exception as e:  # what an agent raises is its answer
+                    error = f"{name}: {e}"
+        return "failed", None, len(agents) * attempts, None, error
+
+    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for part in parts:
+            rows = [(key, int(n), *one(text)) for key, n, text in zip(part[source], part["ordinal"], part[payload])]
+            yield pd.DataFrame(rows, columns=[source, "ordinal", "status", "agent", "attempt", "result", "error"])
+
+    return batches.select(source, "ordinal", payload).mapInPandas(run, f"{source} {kind}, ordinal int, status string, agent string, attempt int, result string, error string")
 
 
 def refuse_failures(batches: DataFrame, allow: bool = False) -> None:

@@ -47,31 +47,34 @@ def longer_than(sources: DataFrame, minimum: float, max_files: int | None = None
     return kept.orderBy(order).limit(max_files) if max_files else kept
 
 
-def parse_data_files(text: str | None) -> str | list[str] | dict[str, str | list[str]] | None:
-    """File arguments: a JSON literal, ``split=path`` pairs, or a comma list; a mix of pairs and paths is an error."""
-    text = (text or "").strip()
-    if not text:
+def parse_data_files(items: str | list[str] | None) -> str | list[str] | dict[str, str | list[str]] | None:
+    """File arguments: one JSON literal, entries ``split=path,path``, or paths (a comma list in one entry).
+
+    With a split in any entry all entries need one; paths behind a comma belong to the split before, unless they name their
+    own. A split given twice collects its paths; a single path stays a string.
+    """
+    entries = [i.strip() for i in ([items] if isinstance(items, str) else items or []) if i.strip()]
+    if not entries:
         return None
-    if text[0] in "[{\"":
-        found = json.loads(text)
-        if not isinstance(found, (str, list, dict)):
-            raise ValueError("data files must be a string, a list or an object")
-        return found
-    parts = [p.strip() for p in text.split(",") if p.strip()]
-    pairs = [p.partition("=") for p in parts]
-    if all(eq for _, eq, _ in pairs):
-        out: dict[str, list[str]] = {}
-        for split, _, path in pairs:
-            if not split.strip() or not path.strip():
-                raise ValueError(f"empty split or path in {text!r}")
-            out.setdefault(split.strip(), []).append(path.strip())
-        return {k: v[0] if len(v) == 1 else v for k, v in out.items()}
-    if any(eq for _, eq, _ in pairs):
-        raise ValueError("splits and plain paths can't be mixed")
-    return parts[0] if len(parts) == 1 else parts
-
-
-def load_dataset(spark: SparkSession, fmt: str, data_files: str | None, split: str = "train", **options: str) -> DataFrame:
+    if len(entries) == 1 and entries[0][0] in "[{":
+        return json.loads(entries[0])
+    if not any("=" in e for e in entries):
+        paths = [p.strip() for p in entries[0].split(",") if p.strip()] if len(entries) == 1 else entries
+        return paths[0] if len(paths) == 1 else paths
+    out: dict[str, list[str]] = {}
+    for entry in entries:
+        split = None
+        for part in filter(None, map(str.strip, entry.split(","))):
+            name, eq, path = part.partition("=")
+            split = name.strip() if eq else split
+            path = path.strip() if eq else part
+            if not split or not path:
+                raise ValueError(f"every entry must be split=path: {entry!r}")
+            out.setdefault(split, []).append(path)
+    return {k: v[0] if len(v) == 1 else v for k, v in out.items()}
+
+
+def load_dataset(spark: SparkSession, fmt: str, data_files: str | list[str] | None, split: str = "train", **options: str) -> DataFrame:
     """Local json, csv or parquet files of one split."""
     if fmt not in ("json", "csv", "parquet", "orc"):
         raise ValueError(f"unknown format {fmt}")

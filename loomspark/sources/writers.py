@@ -61,8 +61,12 @@ def publish(df: DataFrame, root: str, expected_rows: int | None = None, keep: in
     out = files.create(path(f"{root}/CURRENT.next"), True)
     out.write(bytearray(stamp.encode()))
     out.close()
-    files.delete(path(f"{root}/CURRENT"), False)
-    files.rename(path(f"{root}/CURRENT.next"), path(f"{root}/CURRENT"))
+    # Renamed over the old one in one step, so that there is always one.
+    over = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+    over[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
+    jvm.org.apache.hadoop.fs.FileContext.getFileContext(path(root).toUri() if path(root).toUri().getScheme() else files.getUri(), conf).rename(
+        files.makeQualified(path(f"{root}/CURRENT.next")), files.makeQualified(path(f"{root}/CURRENT")), over
+    )
     versions = sorted(s.getPath().getName() for s in files.listStatus(path(root)) if s.isDirectory())
     for old in versions[:-keep]:
         files.delete(path(f"{root}/{old}"), True)

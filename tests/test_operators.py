@@ -1,16 +1,21 @@
 import hashlib
+import math
 import random
 
+import numpy as np
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
+from loomspark.operators import clips as P
 from loomspark.operators import intervals as V
+from loomspark.operators import lineage as N
 from loomspark.operators import manifest as M
 from loomspark.operators import metrics as K
+from loomspark.operators import pools as G
 from loomspark.operators import sampling as S
+from loomspark.operators import segmentation as W
 from loomspark.operators import timeline as L
-from loomspark.operators.segmentation import merge_short, split_long
 from loomspark.plans.runner import StageRunner, cached_transform, fingerprint, same_rows, table_fingerprint
 from loomspark.sources import readers, writers
 
@@ -82,15 +87,134 @@ def test_segment_has_no_overlap(spark):
         assert all(a[1] <= b[0] for a, b in zip(own, own[1:])) and all(0 <= s <= e <= 500 for s, e in own)
 
 
-@pytest.mark.parametrize("seed", range(20))
-def test_fragments_cover_without_short_or_long(seed):
+def spaced(cuts, duration, shortest):
+    """Brute force: looks for the first short piece from the start again after each cut taken out."""
+    ends = [(0.0, None), *[c for c in cuts if shortest <= c[0] <= duration - shortest], (duration, None)]
+    while True:
+        for i in range(len(ends) - 1):
+            if len(ends) > 2 and ends[i + 1][0] - ends[i][0] < shortest - 1e-9:
+                left, right = ends[i][1], ends[i + 1][1]
+                ends.pop(i + 1 if left is None or (right is not None and left > right) else i)
+                break
+        else:
+            return ends[1:-1]
+
+
+def halved(ends, pool, rms, limits):
+    """Brute force: cuts the first piece that is too long, again and again."""
+    ends = list(ends)
+    while True:
+        for a, b in zip(ends, ends[1:]):
+            if b - a > limits.longest:
+                break
+        else:
+            return ends
+        fits = [(s * (0.55 + 0.45 * math.sin(math.pi * (t - a) / (b - a))), -abs(t - (a + b) / 2), -t) for t, s in pool if t - a >= limits.shortest and b - t >= limits.shortest]
+        if fits:
+            at = -max(fits)[2]
+        else:
+            lo, hi = max(1, math.ceil((a + (b - a) / 4) / limits.hop)), min(len(rms) - 2, math.floor((b - (b - a) / 4) / limits.hop))
+            at = min(range(lo, hi + 1), key=lambda k: (rms[k], k)) * limits.hop
+        ends = sorted([*ends, at])
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_cuts_are_the_brute_force(spark, seed):
     rng = random.Random(seed)
-    cuts = [(round(rng.uniform(0.1, 59), 3), rng.random()) for _ in range(30)]
-    kept = merge_short(cuts, 60.0, 1.2)
-    ends = [0.0, *[t for t, _ in kept], 60.0]
-    assert all(b - a >= 1.2 for a, b in zip(ends, ends[1:]))
-    ends = [0.0, *[t for t, _ in split_long(kept, cuts, 60.0, 1.2, 6.0)], 60.0]
-    assert all(b - a <= 6.0 for a, b in zip(ends, ends[1:])) and ends == sorted(ends)
+    limits = W.Limits(hop=0.1, longest=6.0)
+    sets = [(k, sorted({(round(rng.uniform(0.1, 59), 3), float(rng.randint(0, 5))) for _ in range(rng.randint(0, 40))})) for k in range(12)]
+    rows = spark.createDataFrame([(k, [(t, s, "r") for t, s in cuts]) for k, cuts in sets], "k int, cuts array<struct<time:double,score:double,reason:string>>")
+    kept = {r.k: [(c.time, c.score) for c in r.kept] for r in rows.select("k", W.spaced(F.col("cuts"), F.lit(60.0), 1.2).alias("kept")).collect()}
+    rms = np.array([rng.random() for _ in range(600)])
+    for k, cuts in sets:
+        assert kept[k] == spaced(cuts, 60.0, 1.2)
+        ends = [0.0, *[t for t, _ in kept[k]], 60.0]
+        assert all(b - a >= 1.2 - 1e-9 for a, b in zip(ends, ends[1:]))
+        times, scores = (np.array([c[i] for c in cuts]) for i in (0, 1))
+        more = [t for a, b in zip(ends, ends[1:]) for t, _ in W.halved(a, b, times, scores, rms, limits)]
+        assert sorted([*ends, *more]) == pytest.approx(halved(ends, cuts, rms, limits))
+
+
+def test_fragments_of_sound(spark):
+    rng = random.Random(1)
+    limits = W.Limits(hop=0.1, shortest=0.5, longest=3.0, envelope=2.0, pause=0.2)
+    frames, sizes = [], {"a": 300, "b": 3, "c": 90}
+    for k, n in sizes.items():
+        for i in range(n):
+            quiet = k == "a" and 100 <= i < 105
+            frames.append((k, i, -60.0 if quiet else -10.0 - rng.random(), rng.random(), rng.random() * 0.2, rng.random()))
+    durations = spark.createDataFrame([(k, n / 10) for k, n in sizes.items()] + [("empty", 9.0)], "k string, duration double")
+    found = W.segment_frames(spark.createDataFrame(frames, "k string, idx int, rms double, flux double, novelty double, step double"), durations, "k", limits)
+    got = {}
+    for r in found.orderBy("k", "start").collect():
+        got.setdefault(r.k, []).append(r)
+    assert set(got) == {*sizes, "empty"} and len(got["b"]) == len(got["empty"]) == 1
+    for k, own in got.items():
+        assert own[0].start == 0 and own[-1].end == pytest.approx({**{k: n / 10 for k, n in sizes.items()}, "empty": 9.0}[k])
+        assert all(x.end == y.start and x.right_reason == y.left_reason for x, y in zip(own, own[1:]))
+        assert k == "empty" or all(r.end - r.start <= limits.longest for r in own)
+    assert any(r.right_reason == "pause_valley" and 10.0 <= r.end < 10.5 and r.right_score > 3 for r in got["a"])
+    with pytest.raises(ValueError):
+        W.Limits(longest=1.0)
+
+
+def test_edges_move_until_quiet():
+    rate, limits = 1000, P.ClipLimits(shortest=0.5, longest=4.0, extension=1.0, hold=0.1, quiet_db=-40.0)
+    sound = np.zeros(10_000, dtype="float32")
+    sound[800:3400] = 0.5  # sound runs on beyond both edges of the first segment
+    sound[5000:9900] = 0.5
+    start, end = P.widened(np.array([1.0, 5.5, 8.0]), np.array([3.0, 7.0, 9.5]), sound, rate, limits)
+    assert start[0] == pytest.approx(0.7) and end[0] == pytest.approx(3.5)  # 0.1 s beyond the last loud frame
+    assert start[1] == pytest.approx(4.9) and end[1] == pytest.approx(8.0)  # held by the next segment
+    assert start[2] == pytest.approx(8.0) and end[2] == pytest.approx(10.0)
+    assert P.first_quiet(np.array([1, 0, 1, 0, 0, 0]), 0.5, 2) == 3 and P.first_quiet(np.ones(3), 0.5, 2) is None
+
+
+def test_event_clips_of_gaps(spark):
+    sources = spark.createDataFrame([(1, 9, "a.wav", 30.0, 16000), (2, 9, "b.wav", 30.0, 16000)], "source_uid long, speaker_id long, path string, duration double, sample_rate int")
+    speech = spark.createDataFrame([(1, 0.0, 10.0), (1, 12.0, 13.0)], "source_uid long, start double, end double")
+    gaps = P.quiet_gaps(sources, speech)
+    assert [tuple(r) for r in gaps.collect()] == [(1, 13.0, 30.0)]
+    assert [r.source_uid for r in P.missing_regions(sources, speech).collect()] == [2]
+    frames = [(1, i, 0.5 if 1500 <= i < 2000 else 1e-5, -6.0 if 1500 <= i < 2000 else -100.0, 0.0, 0.0, 0.0) for i in range(3000)]
+    fragments = P.gap_fragments(gaps, spark.createDataFrame(frames, "source_uid long, idx int, amplitude double, rms double, flux double, novelty double, step double"))
+    rows = sorted((r.start, r.end) for r in fragments.collect())
+    assert rows[0][0] == 13.0 and rows[-1][1] == pytest.approx(30.0) and all(x[1] == pytest.approx(y[0]) for x, y in zip(rows, rows[1:]))
+    clips = P.event_clips(sources, fragments, P.ClipLimits(shortest=0.6, longest=20.0)).collect()
+    assert clips and all(c.origin == "vad_complement" and "_nv_" in c.id and c.start >= 12.8 for c in clips)
+    assert any(c.start < 15.0 and c.end > 19.9 for c in clips)
+
+
+def test_latent_merge_refusals_and_paths(spark):
+    df = spark.createDataFrame([(1, "a/./x.pt", "t", "S:rj12_take", " i ", 5), (2, "/abs/../q/y.pt", "u", "other", "", 6)], "line int, latent_path string, text string, speaker_id string, id string, extra int")
+    other = spark.createDataFrame([(1, "../d/B.pt", "t", 7)], "line int, latent_path string, text string, speaker_id int")
+    merged = N.merge_latents({"/r/m/one.jsonl": df, "/r/n/two.jsonl": other}, "/r/out/all.jsonl", collapse_speakers=True)
+    assert [r.latent_path for r in merged.rows.collect()] == ["../../q/y.pt", "../d/B.pt", "../m/a/x.pt"]
+    assert merged.input_counts == {"/r/m/one.jsonl": 2, "/r/n/two.jsonl": 1} and merged.speaker_normalized_count == 2 and "extra" in merged.rows.columns
+    clash = spark.createDataFrame([(7, "../m/a/x.pt", "t")], "line int, latent_path string, text string")
+    with pytest.raises(ValueError, match=r"/r/m/one.jsonl:1 and /r/n/two.jsonl:7"):
+        N.merge_latents({"/r/m/one.jsonl": df, "/r/n/two.jsonl": clash}, "/r/out/all.jsonl")
+    same_id = spark.createDataFrame([(3, "z.pt", "t", "i")], "line int, latent_path string, text string, id string")
+    with pytest.raises(ValueError, match="duplicate id"):
+        N.merge_latents({"/r/m/one.jsonl": df, "/r/n/two.jsonl": same_id}, "/r/out/all.jsonl")
+    for bad in ({}, {"/r/out/all.jsonl": df}, {"/r/m/x.jsonl": df.drop("text")}, {"/r/m/x.jsonl": df.withColumn("latent_path", F.lit(" "))}):
+        with pytest.raises(ValueError):
+            N.merge_latents(bad, "/r/out/all.jsonl")
+    with pytest.raises(FileNotFoundError, match="one.jsonl:2"):
+        N.merge_latents({"/r/m/one.jsonl": df}, "/r/out/all.jsonl", existing=spark.createDataFrame([("/r/m/a/x.pt",)], "path string"))
+
+
+def test_pools_refuse_what_is_not_there(spark):
+    index = spark.createDataFrame([(i, "s" if i < 3 else None, "c" if i else None) for i in range(5)], "idx int, speaker_id string, category string")
+    with pytest.raises(ValueError, match="9"):
+        G.subset(index, spark.createDataFrame([(1,), (9,)], "idx int"))
+    with pytest.raises(ValueError):
+        G.subset(index, spark.createDataFrame([], "idx int"))
+    assert sorted(r.idx for r in G.style_filtered(index).collect()) == [1, 2]
+    with pytest.raises(ValueError):
+        G.style_filtered(index.where("idx = 0"))
+    got = {r.idx: r.reference for r in G.picked_references(index, "idx", "speaker_id", "category", 1).collect()}
+    assert got[0] in (1, 2) and {got[1], got[2]} == {1, 2} and got[1] == 2 and got[3] is None
 
 
 def test_context_windows_are_the_slices(spark):
@@ -159,6 +283,8 @@ def test_best_n_keeps_the_older_on_ties(spark):
 
 
 def test_stage_runner(tmp_path):
+    from loomspark.plans.runner import Stage
+
     runs = []
     runner = StageRunner(str(tmp_path / "state.json"), ["a", "b"])
     assert runner.run("a", fingerprint(1), lambda: True, lambda: runs.append(1)) == "complete"
@@ -167,6 +293,17 @@ def test_stage_runner(tmp_path):
     with pytest.raises(ZeroDivisionError):
         runner.run("b", "x", lambda: True, lambda: 1 / 0)
     assert runner.state["stages"]["b"]["status"] == "failed" and len(runs) == 2
+    with pytest.raises(RuntimeError, match="no outputs"):
+        runner.run("b", "y", lambda: False, lambda: runs.append(2))
+    with pytest.raises(KeyboardInterrupt):
+        runner.run("b", "z", lambda: True, lambda: (_ for _ in ()).throw(KeyboardInterrupt()))
+    assert StageRunner(str(tmp_path / "state.json"), ["a", "b"]).state["stages"]["b"]["status"] == "failed"
+    stages = [Stage("a", lambda: "s", lambda: True, lambda: None), Stage("b", lambda: "s", lambda: True, lambda: None, lambda: ["there.json"])]
+    with pytest.raises(FileNotFoundError, match="there.json"):
+        runner.run_all(stages, "b")
+    assert runner.run_all(stages, "a", "a") == {"a": "complete"}
+    with pytest.raises(ValueError):
+        StageRunner(str(tmp_path / "state.json"), ["a"], force={"q"})
     (tmp_path / "state.json").write_text("{")
     assert StageRunner(str(tmp_path / "state.json"), ["a"]).state["stages"] == {}
 
@@ -200,8 +337,12 @@ def test_sources_and_sinks(spark, tmp_path):
         writers.publish(rows, f"{tmp_path}/p", 3)
     assert readers.parse_data_files("train=a.json,test=b.json") == {"train": "a.json", "test": "b.json"}
     assert readers.parse_data_files('["a", "b"]') == ["a", "b"] and readers.parse_data_files("a,b") == ["a", "b"]
-    with pytest.raises(ValueError):
-        readers.parse_data_files("a,x=b")
+    assert readers.parse_data_files("train=a.json,b.json") == {"train": ["a.json", "b.json"]}
+    assert readers.parse_data_files(["train=a, b", "test=c", "train=d"]) == {"train": ["a", "b", "d"], "test": "c"} and readers.parse_data_files(["a", "b"]) == ["a", "b"]
+    assert readers.parse_data_files(" ") is None and readers.parse_data_files([]) is None
+    for bad in ("a,x=b", ["x=a", "b"], "=a", "x="):
+        with pytest.raises(ValueError):
+            readers.parse_data_files(bad)
     deep = spark.createDataFrame([((1,), 2)], "a struct<b int>, `a.b` int")
     assert deep.select(readers.nested(deep, "a.b").alias("x")).first().x == 2
     assert deep.drop("`a.b`").select(readers.nested(deep.select("a"), "a.b").alias("x")).first().x == 1
@@ -249,9 +390,10 @@ def test_schedules(spark):
     from loomspark.functions import schedules as C
 
     assert C.ranked_path("a/b.jsonl", 3, 4) == "a/b.rank03.jsonl" and C.ranked_path("a/b", 0, 200) == "a/b.rank000" and C.ranked_path("x", 0, 1) == "x"
-    assert C.guidance_scales("joint", 1, 1, 5, use_speaker=False)[:3] == (1.0, 1.0, 0.0)
-    with pytest.raises(ValueError):
-        C.guidance_scales("joint", 1, 1, 5)
+    one = lambda *flags: spark.range(1).select(C.guidance(F.lit(1.0), F.lit(1.0), F.lit(5.0), F.lit(None).cast("double"), *map(F.lit, flags)).alias("s")).first().s
+    assert tuple(one(True, False, True)) == (1.0, 1.0, 0.0, True) and tuple(one(True, True, False)) == (1.0, 1.0, 5.0, False)
+    with pytest.raises(Exception, match="equal scales"):
+        one(True, True, True)
     assert C.batches_per_epoch(10, 3, 2, True) == 1 and C.batches_per_epoch(10, 3, 2, False) == 2
     df = spark.createDataFrame([(0, [" a ", ""]), (1, None), (2, ["x", "y"])], "i int, c array<string>")
     got = {r.i: r.p for r in df.select("i", C.pick_caption(F.col("c"), F.col("i"), 1).alias("p")).collect()}
@@ -280,4 +422,6 @@ def test_unsafe_proposals_are_rejected(spark):
     made = spark.createDataFrame([(k, v, "corrected", "speech") for k, v in after.items()] + [("silent", "abc", "corrected", "speech")], "id string, corrected_text string, status string, category string")
     got = resolve(rows, made)
     assert {r.id: r.outcome for r in got.collect()} == {k: "accepted" if k in ("near", "marked") else "rejected_unsafe" for k in [*after, "silent"]}
-    assert {r.id for r in change_log(got).collect()} == {"near", "marked"}
+    log = {r.id: r for r in change_log(got).collect()}  # rejected proposals are logged with what was suggested, their text unchanged
+    assert set(log) == {*after, "silent"} and {k for k, r in log.items() if r.after != r.before} == {"near", "marked"}
+    assert log["unrelated"].suggested == after["unrelated"] and log["unrelated"].similarity < 0.6 and log["marked"].similarity == 1.0
