@@ -25,8 +25,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-ALPHABET = 32
-EDGE = 31
+#: Classes of characters: letters a to z, digits, 90 classes for all others by code point, and a word's edge.
+ALPHABET, OTHERS = 128, 90
+EDGE = ALPHABET - 1
 DECAY = 0.6
 #: Slots of the table of subsequences (they share slots by hash).
 SLOTS = 1 << 17
@@ -54,6 +55,17 @@ def words_of(text: str | None) -> set[str]:
     return found
 
 
+def _class_of(code: int) -> int:
+    base = chr(code).lower()[0]
+    if "a" <= base <= "z":
+        return ord(base) - 96
+    return 27 + int(base) if "0" <= base <= "9" else 37 + code % OTHERS
+
+
+#: Classes of the characters below U+0250; others go by their code alone.
+_CLASSES = np.array([0, *map(_class_of, range(1, 0x250))], dtype=np.int32)
+
+
 def _ids(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Character classes of the words' pieces (0: none), and the word of each piece."""
     pieces, owner = [], []
@@ -63,7 +75,7 @@ def _ids(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
             owner.append(i)
     wide = np.array(pieces or [""], dtype=f"U{PIECE}")
     codes = wide.view(np.uint32).reshape(len(wide), PIECE).astype(np.int32)[: len(pieces)]
-    ids = np.where((codes >= 97) & (codes <= 122), codes - 96, np.where(codes > 0, 27 + codes % 4, 0))
+    ids = np.where(codes < len(_CLASSES), _CLASSES[np.minimum(codes, len(_CLASSES) - 1)], 37 + codes % OTHERS)
     return np.concatenate([np.full((len(ids), 1), EDGE), ids], axis=1), np.array(owner, dtype=np.int64)
 
 
@@ -77,14 +89,12 @@ def _features(ids: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         codes = ids[:, :n]
         for p in places:
             codes = codes * ALPHABET + ids[:, p : p + n]
-        if len(places) == 2:
-            slots = codes  # below 2**15
-        else:
-            slots = ALPHABET**3 + ((codes * 2654435761 ^ codes >> 17) >> 20) % (SLOTS - ALPHABET**3)
+        slots = ((codes * 2654435761 ^ codes >> 17) >> 20) % SLOTS
         yield slots, (ids[:, places[-1] : places[-1] + n] > 0) * np.float32(weight)
 
 
 def _norms(ids: np.ndarray) -> np.ndarray:
+    """Length of each piece, every occurrence of a subsequence counted apart."""
     return np.sqrt(sum((w * w).sum(axis=1) for _, w in _features(ids)) + 1e-6)
 
 
@@ -97,15 +107,14 @@ def kernel(ids: np.ndarray, used: np.ndarray, base: np.ndarray) -> np.ndarray:
     """Normalized pieces against landmarks' profiles, which are given on the slots they use."""
     place = np.full(SLOTS, len(used))
     place[used] = np.arange(len(used))
-    right, out, width = np.ascontiguousarray(base.T), [], len(used) + 1
-    for at in range(0, len(ids), 200):
-        part = ids[at : at + 200]
-        rows = np.arange(len(part))[:, None] * width
-        left = np.zeros(len(part) * width)
-        for slots, w in _features(part):
-            left += np.bincount((rows + place[slots]).ravel(), w.ravel(), len(left))
-        out.append(left.reshape(len(part), width)[:, :-1].astype(np.float32) @ right / _norms(part)[:, None])
-    return np.concatenate(out)
+    right = np.concatenate([base.T, np.zeros((1, len(base)), dtype=np.float32)])
+    order, out = np.argsort((ids > 0).sum(axis=1), kind="stable"), np.zeros((len(ids), len(base)), dtype=np.float32)
+    for at in range(0, len(ids), 256):
+        part = order[at : at + 256]
+        for slots, w in _features(ids[part]):
+            out[part] += np.einsum("wp,wpl->wl", w, right[place[slots]])
+        out[part] /= _norms(ids[part])[:, None]
+    return out
 
 
 def landmarks_of(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
