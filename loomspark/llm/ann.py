@@ -5,7 +5,7 @@ Equal vectors are one entry of the index with their smallest ids, so a very comm
 any other. Neighbouring lists form regions, and large regions are split into blocks of entries and of queries. A query
 goes once to each block of a region that has lists it probes, with the numbers of these lists. Within a block, tables of
 inner products between a query's parts and the codebooks estimate all entries of the probed lists; those that may be among
-the block's best, allowing for two deviations of the quantization error on either side, are scored exactly, in double
+the block's best, allowing for one deviation of the quantization error on either side, are scored exactly, in double
 precision, on the original vectors. A block returns no more than the rows that a result can hold.
 
 How many lists to probe is measured: a bounded sample of queries is compared with brute force over all rows.
@@ -189,12 +189,12 @@ def search(
     k: int = 20,
     id_col: str = "vec_id",
     vector_col: str = "embedding",
-    target: float = 0.95,
+    target: float = 0.96,
     max_lists: int = 16_384,
     max_block: int = 65_536,
     blocks: int = 64,
     block_queries: int = 1024,
-    deviations: float = 2.0,
+    deviations: float = 1.0,
     sample_rows: int = 8192,
     trial_queries: int = 64,
 ) -> DataFrame:
