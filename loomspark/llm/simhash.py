@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .components import connected_components
-from .common import drop, fresh, materialize
+from .common import drop, fresh, materialize, sent_if_small
 
 BITS, SEGMENTS, WIDTH = 64, 2, 32
 #: Bits in which linked fingerprints differ at most; a segment's ball has half of it as radius.
@@ -107,10 +107,10 @@ def link_fingerprints(distinct: DataFrame) -> DataFrame:
     indexed again, so no bucket of any size is paired or gathered as a whole. No link is lost.
     """
     near = lambda a, b: F.bit_count(a.bitwiseXOR(b)) <= LINK_DISTANCE
-    keyed = distinct.select("fp", F.explode(lookups(F.col("fp"))).alias("k")).select("fp", "k.key", "k.own").where("key is not null")
+    keyed = spread_out(distinct, "fp").select("fp", F.explode(lookups(F.col("fp"))).alias("k")).select("fp", "k.key", "k.own").where("key is not null")
     buckets = keyed.groupBy("key").agg(F.count("*").alias("n"), F.count_if("own").alias("stored")).where("stored > 0 and n > 1")
     buckets = materialize(buckets.select("key", "n"), "simhash-buckets")
-    members = materialize(keyed.join(buckets, "key"), "simhash-members")
+    members = materialize(keyed.join(buckets, "key"), "simhash-members", merged=True)
     drop(buckets)
 
     few = members.where(F.col("n") <= CROWD).groupBy("key").agg(F.collect_list("fp").alias("members"))
@@ -132,21 +132,21 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
     Documents link if their fingerprints differ in 2 bits or fewer; a component is named by its
     smallest id (null if none of its rows has one). Returns id_col, stamp long (a hash of the text), fp long,
-    component_id, one row for each input row; equal rows get equal results. Null and empty texts have fingerprint 0 and
+    component_id, root (the component's own name, as rows can share ids), one row for each input row; equal rows get equal results. Null and empty texts have fingerprint 0 and
     link like any other. An empty table gives an empty result.
 
     Texts are read once; from there on only ids and fingerprints move. Equal fingerprints are one node, so
     a group of copies costs one row after each task's own aggregation.
     """
     prints = materialize(fingerprints(df, id_col, text_col, words), "simhash-prints")
-    nodes = materialize(spread_out(prints.groupBy("fp").agg(F.min(id_col).alias("first_id")), "fp"), "simhash-nodes")
+    nodes = materialize(prints.groupBy("fp").agg(F.min(id_col).alias("first_id")), "simhash-nodes")
     roots = connected_components(link_fingerprints(nodes.select("fp")))  # node, root: linked nodes only
     named = nodes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     named = materialize(named, "simhash-named")
     least = named.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    table = materialize(named.join(materialize(least, "simhash-least"), "root").select("fp", "component_id"), "simhash-table")
+    table = materialize(named.join(materialize(least, "simhash-least"), "root").select("fp", "component_id", "root"), "simhash-table")
     drop(roots)
-    return prints.join(table, "fp").select(id_col, "stamp", "fp", "component_id")
+    return prints.join(table, "fp").select(id_col, "stamp", "fp", "component_id", "root")
 
 
 def spread_out(nodes: DataFrame, key: str) -> DataFrame:
@@ -164,19 +164,19 @@ def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", word
 
 
 def kept(df: DataFrame, found: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """df without the documents of found (id_col, stamp, component_id) that don't stand for their component.
+    """df without the documents of found (id_col, stamp, component_id, root) that don't stand for their component.
 
     The document with the component's smallest id does, and of several texts under that id the one with the smallest stamp.
     """
     own_id, own_stamp = fresh(df, "__lost"), fresh(df, "__stamp")
-    found = found.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias(own_id), F.col("stamp").alias(own_stamp), "component_id")
+    found = found.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias(own_id), F.col("stamp").alias(own_stamp), "component_id", "root")
     first = F.col(own_id) == F.col("component_id")
-    heads = found.where(first).groupBy("component_id").agg(F.min(own_stamp).alias("head"))
-    # Only documents under a head's id can be a second text of it; all others go by their id alone.
-    spare = found.where(first).join(heads, "component_id").where(F.col(own_stamp) != F.col("head"))
+    heads = found.where(first).groupBy("root").agg(F.min(own_stamp).alias("head"))
+    # Only documents under a head's id can be a second text of it; all others go by their id and text alone.
+    spare = found.where(first).join(heads, "root").where(F.col(own_stamp) != F.col("head"))
     lost = materialize(found.where(~first).select(own_id, own_stamp).unionByName(spare.select(own_id, own_stamp)).distinct(), "simhash-lost")
     stamp = stamp_of(F.col(text_col))
-    out = df.join(lost, (F.col(id_col) == F.col(own_id)) & (stamp == F.col(own_stamp)), "left_anti")
+    out = df.join(sent_if_small(lost, 64), (F.col(id_col) == F.col(own_id)) & (stamp == F.col(own_stamp)), "left_anti")
     repeated = found.groupBy(own_id, own_stamp).count().where("count > 1")
     if repeated.limit(1).count():
         out = out.withColumn(own_stamp, stamp)
