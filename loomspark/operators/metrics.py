@@ -34,6 +34,14 @@ def trailing_mean(value: Column, keys: list[str], order: list[str], rows: int =
     return F.avg(value).over(Window.partitionBy(*keys).orderBy(*order).rowsBetween(1 - rows, 0))
 
 
+def ema(value: Column, back: Column, first: Column, decay: float) -> Column:
+    """Aggregate: exponential moving average, from the first value on, as a weighted sum; so it is not a fold in one task.
+
+    back: how many values follow; first: the back of the first value. The first weighs decay**back, the others 1 - decay as much.
+    """
+    return F.sum(value.cast("double") * F.pow(F.lit(decay), back) * F.when(back == first, 1.0).otherwise(1.0 - decay))
+
+
 def rate(step: Column, seconds: Column, keys: list[str], order: list[str], batch: int) -> Column:
     """Items a second since the row before."""
     window = Window.partitionBy(*keys).orderBy(*order)

@@ -119,10 +119,19 @@ def length_batches(df: DataFrame, key: str, length: str, batch: int, windows: in
     return placed.withColumn("batch", (F.col("window") * windows + F.floor(within / F.lit(batch))).cast("long"))
 
 
+def shuffled_batches(batches: DataFrame, batch: str, seed: int) -> DataFrame:
+    """Batches (one row each) with `place`, their place in a seeded order."""
+    return shuffled(batches.select(batch).distinct(), batch, seed).withColumnRenamed("pos", "place")
+
+
 def style_pools(df: DataFrame, speaker: str, category: str) -> DataFrame:
-    """Rows whose (speaker, category) pool has two rows or more; null speakers go, a null category is a category."""
-    size = F.count("*").over(Window.partitionBy(speaker, category))
-    return df.where(F.col(speaker).isNotNull()).withColumn("__n", size).where("__n >= 2").drop("__n")
+    """Rows whose (speaker, category) pool has two rows or more; null speakers go, a null category is a category.
+
+    Sizes are aggregated and joined, so that a large pool stays in many tasks.
+    """
+    rows = df.where(F.col(speaker).isNotNull())
+    pools = rows.groupBy(F.col(speaker).alias("__s"), F.col(category).alias("__c")).agg(F.count("*").alias("__n")).where("__n >= 2")
+    return rows.join(pools, (F.col(speaker) == F.col("__s")) & F.col(category).eqNullSafe(F.col("__c")), "left_semi")
 
 
 def next_in_pool(df: DataFrame, key: str, pool: list[str]) -> DataFrame:
@@ -142,8 +151,28 @@ def replica_shards(df: DataFrame, replicas: int, total: int, drop_last: bool = F
     return kept.withColumn("replica", F.pmod("pos", F.lit(replicas)).cast("int"))
 
 
-def weighted_pick(df: DataFrame, key: str, weight: str, picks: int, seed: int) -> DataFrame:
-    """One row a pick: key with probability proportional to weight, by exponential races (smallest -ln(u) / weight for each pick)."""
+def weighted_pick(df: DataFrame, key: str, weight: str, picks: int, seed: int, buckets: int = 64) -> DataFrame:
+    """One row a pick: key with probability proportional to weight, by exponential races (smallest -ln(u) / weight for each pick).
+
+    Rows race within hash buckets first, in as many tasks, then the buckets' winners; it is rows times picks in all.
+    """
     u = (F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}:"), F.col("pick").cast("string"), F.lit(":"), F.col(key).cast("string"))), 1, 12), 16, 10).cast("double") + 1) / F.lit(float(16**12))
     races = df.where(F.col(weight) > 0).withColumn("pick", F.explode(F.sequence(F.lit(0), F.lit(picks - 1)))).withColumn("t", -F.log(u) / F.col(weight))
-    return races.groupBy("pick").agg(F.min_by(key, F.struct("t", key)).alias(key))
+    heats = races.groupBy("pick", F.pmod(F.xxhash64(key), F.lit(buckets)).alias("heat")).agg(F.min_by(F.struct("t", key), F.struct("t", key)).alias("w"))
+    return heats.groupBy("pick").agg(F.min("w")[key].alias(key))
+
+
+def excerpt_tries(picks: DataFrame, duration: str, seconds: float, seed: int) -> DataFrame:
+    """Picks (index, attempt, key, duration) that an excerpt fits in, with its `offset`; the first attempts come first.
+
+    A file must be over a second longer than the excerpt; the offset is drawn evenly, half a second from either end.
+    """
+    u = F.conv(F.substring(F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("index").cast("string"), F.col("attempt").cast("string"))), 1, 12), 16, 10).cast("double") / F.lit(float(16**12))
+    fits = picks.where(F.col(duration) > seconds + 1.0)
+    return fits.withColumn("offset", 0.5 + u * (F.col(duration) - seconds - 1.0))
+
+
+def first_sounding(tries: DataFrame, indexes: DataFrame, rms: str, least: float = 1e-3) -> DataFrame:
+    """One row for each index: its first attempt that sounds; an index without any is silent (null key), so that no draw fails."""
+    heard = tries.where(F.col(rms) > least).groupBy("index").agg(F.min_by(F.struct("key", "offset"), "attempt").alias("w"))
+    return indexes.select("index").distinct().join(heard, "index", "left").select("index", "w.key", "w.offset", F.col("w").isNull().alias("silent"))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from loomspark.operators import manifest as M
 from loomspark.operators import metrics as K
+from loomspark.operators import prepare as Q
 from loomspark.operators import review as R
 from loomspark.operators import sampling as S
 from loomspark.operators import timeline as L
@@ -63,7 +64,8 @@ def contiguous_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
   when n_chars > 20000 then 'too_long' end as skip_reason from documents) where skip_reason is not null group by 1""",
 )
 def skip_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
-    reason = R.skip_reason(F.trim("text")).when(F.col("n_chars") < 64, "too_short").when(F.col("n_chars") > 20000, "too_long")
+    none = F.lit(None).cast("string")
+    reason = Q.skip_reason(F.col("text"), none, F.lit(1), F.lit(1)).when(F.col("n_chars") < 64, "too_short").when(F.col("n_chars") > 20000, "too_long")
     return M.skip_histogram(table(spark, sf_dir, "documents").select(reason.alias("skip_reason")))
 
 

@@ -98,10 +98,11 @@ def patchify(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("vec_id", F.col("patch").cast("long").alias("patch"), F.round(A.total(F.col("p")), 5).alias("total"))
 
 
-@register("unpatchify", "select vec_id, len(embedding) // 6 * 6 as frames, embedding[1] = embedding[1] as same from embeddings")
+@register("unpatchify", "select vec_id, len(embedding) // 6 * 6 as frames, md5(array_to_string(list_transform(embedding[1:len(embedding) // 6 * 6], lambda x: round(x::double * 1000000)::bigint), ',')) as digest from embeddings")
 def unpatchify(spark: SparkSession, sf_dir: str) -> DataFrame:
     back = A.unpatchify(A.patchify(F.col("embedding"), 6))
-    return table(spark, sf_dir, "embeddings").select("vec_id", F.size(back).cast("long").alias("frames"), (back == F.slice("embedding", 1, F.size(back))).alias("same"))
+    digits = F.transform(back, lambda x: F.round(x.cast("double") * 1000000).cast("long").cast("string"))
+    return table(spark, sf_dir, "embeddings").select("vec_id", F.size(back).cast("long").alias("frames"), F.md5(F.array_join(digits, ",")).alias("digest"))
 
 
 @register(
@@ -133,11 +134,10 @@ f as (select user_id, k, n, value::double as e from o where k = 1 union all sele
 select user_id, round(e, 5) as ema from f where k = n""",
 )
 def ema_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # Beyond 512 steps back a weight of 0.9**512 (4e-24) is below double precision, so the fold needs no longer tail.
-    place = F.row_number().over(Window.partitionBy("user_id").orderBy(F.desc("event_id")))
-    rows = table(spark, sf_dir, "events").select("user_id", "event_id", "value", place.alias("back")).where("back <= 512")
-    ordered = rows.groupBy("user_id").agg(F.array_sort(F.collect_list(F.struct("event_id", "value"))).alias("x"))
-    return ordered.select("user_id", F.round(A.ema(F.transform("x", lambda s: s["value"]), 0.9), 5).alias("ema"))
+    back = F.row_number().over(Window.partitionBy("user_id").orderBy(F.desc("event_id"))) - 1
+    first = F.count("*").over(Window.partitionBy("user_id")) - 1
+    rows = table(spark, sf_dir, "events").select("user_id", "value", back.alias("back"), first.alias("first"))
+    return rows.groupBy("user_id").agg(F.round(K.ema(F.col("value"), F.col("back"), F.col("first"), 0.9), 5).alias("ema"))
 
 
 @register("interpolate", "select vec_id, round(list_sum(list_transform(embedding, lambda x: 0.75 * x::double)) + 0.25 * len(embedding), 5) as total from embeddings")
@@ -147,11 +147,16 @@ def interpolate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "embeddings").select("vec_id", F.round(A.total(A.interpolate(e, ones, 0.25)), 5).alias("total"))
 
 
-@register("padded_batch", "select vec_id, cast(80 as integer) as size, cast(least(len(embedding), 80) as integer) as filled from embeddings")
+@register(
+    "padded_batch",
+    f"""select vec_id, cast(80 as integer) as size, cast(least(len(v), 80) as integer) as filled, round(list_sum(v[1:80]), 5) + 0.0 as total,
+  cast(least(len(v), 40) as integer) as cut, round(list_sum(v[1:40]), 5) + 0.0 as cut_total from (select vec_id, {_V} as v from embeddings)""",
+)
 def padded_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = F.col("embedding")
-    mask = A.padding_mask(e, 80)
-    return table(spark, sf_dir, "embeddings").select("vec_id", F.size(A.padded(e, 80)).alias("size"), F.size(F.filter(mask, lambda m: m)).alias("filled"))
+    wide, narrow, mask = A.padded(e, 80), A.padded(e, 40), A.padding_mask(e, 80)
+    sums = [(F.round(A.total(x), 5) + 0.0).alias(name) for x, name in ((wide, "total"), (narrow, "cut_total"))]
+    return table(spark, sf_dir, "embeddings").select("vec_id", F.size(wide).alias("size"), F.size(F.filter(mask, lambda m: m)).alias("filled"), F.size(narrow).alias("cut"), *sums)
 
 
 @register("pricing_rollup", "select l_returnflag, l_linestatus, count(*) as n, round(sum(l_extendedprice * (1 - l_discount)), 2) as revenue from lineitem where l_shipdate <= timestamp '1998-09-02' group by all")

@@ -16,6 +16,7 @@ from loomspark.operators import manifest as M
 from loomspark.operators import pools as G
 from loomspark.operators import prepare as Q
 from loomspark.operators import review as R
+from loomspark.operators import sampling as B
 from loomspark.operators import segmentation as S
 from loomspark.operators import transcripts as T
 from loomspark.plans.interval_queries import HOUR, event_intervals, frames
@@ -475,3 +476,26 @@ select vec_id, cast(arg_max(idx, k) as integer) as idx, arg_max(value, k) as val
 def collapsed_peaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     peaks = V.local_peaks(frames(spark, sf_dir), ["vec_id"], 3, F.lit(0.0))
     return V.collapsed_peaks(peaks, ["vec_id"], 5)
+
+
+@register(
+    "shuffled_batches",
+    """select batch, row_number() over (order by md5('4:' || batch::varchar), batch) - 1 as place from (select distinct event_id // 16 as batch from events)""",
+)
+def shuffled_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    batches = table(spark, sf_dir, "events").select(F.floor(F.col("event_id") / 16).alias("batch"))
+    return B.shuffled_batches(batches, "batch", 4).select("batch", "place")
+
+
+@register(
+    "excerpts",
+    """with t as (select event_id % 700 as i, event_id // 700 as attempt, user_id as key, abs(value) * 10 as d, event_id % 3 <> 0 as sounds from events),
+f as (select *, 0.5 + cast('0x' || substr(md5('2:' || i || ':' || attempt), 1, 12) as bigint) / 281474976710656.0::double * (d - 1.5) as o from t where d > 1.5),
+w as (select i, arg_min(key, attempt) as key, arg_min(o, attempt) as o from f where sounds group by i)
+select a.i as index, w.key, round(w.o, 6) as "offset", w.i is null as silent from (select distinct event_id % 700 as i from events) a left join w on w.i = a.i""",
+)
+def excerpts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = F.col("event_id")
+    rows = table(spark, sf_dir, "events").select((k % 700).alias("index"), F.floor(k / 700).alias("attempt"), F.col("user_id").alias("key"), (F.abs("value") * 10).alias("duration"), F.when(k % 3 != 0, 0.1).otherwise(0.0).alias("rms"))
+    tries = B.excerpt_tries(rows, "duration", 0.5, 2)
+    return B.first_sounding(tries, rows, "rms").select("index", "key", F.round("offset", 6).alias("offset"), "silent")

@@ -10,6 +10,7 @@ from loomspark.operators import manifest as M
 from loomspark.operators import review as R
 from loomspark.plans.registry import register
 from loomspark.session import table
+from loomspark.sources import readers
 
 
 
@@ -38,15 +39,9 @@ select source, case when len(reasons) > 0 then 'review' else 'train' end as stat
 def clip_review_routing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("source", "text", "n_chars")
     text = X.collapse_whitespace(F.col("text"))
-    rows = docs.select("source", F.length(X.meaningful(text)).alias("n"), (F.col("n_chars") / 15.0).alias("seconds"))
-    rate = F.col("n") / F.col("seconds")
-    found = R.reasons(
-        (F.col("n") == 0, "empty_transcript"),
-        (F.col("n") > R.LONGEST_TEXT, "implausibly_long_transcript"),
-        ((F.col("n") > 0) & (rate < R.SPARSE), "text_too_sparse"),
-        (rate > R.DENSE, "text_too_dense"),
-    )
-    rows = rows.select("source", "n", found.alias("found"))
+    rows = docs.select("source", text.alias("text"), (F.col("n_chars") / 15.0).alias("seconds"))
+    found = R.transcript_reasons(F.col("text"), F.col("seconds"), repeated=False)  # SQL has no pattern for repetition
+    rows = rows.select("source", F.length(X.meaningful(F.col("text"))).alias("n"), found.alias("found"))
     return rows.groupBy("source", R.status(F.col("found")).alias("status"), F.array_join("found", ",").alias("reasons")).agg(
         F.count("*").alias("clips"), F.sum("n").cast("long").alias("meaningful")
     )
@@ -156,26 +151,27 @@ def work_collapse(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register(
     "clip_ids",
-    """select event_id, printf('u%d_%010d_%010d', user_id, round_even(value * 1000, 0)::bigint, round_even(value * 1000 + 1500, 0)::bigint) as clip_id from events""",
+    """select event_id, printf('u%d_%010d_%010d', user_id, round_even(value * 1000, 0)::bigint, round_even((value + 1.5) * 1000, 0)::bigint) as clip_id from events""",
 )
 def clip_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = table(spark, sf_dir, "events")
-    ms = F.rint(F.col("value") * 1000)
-    name = F.format_string("u%d_%010d_%010d", F.col("user_id"), ms.cast("long"), F.rint(F.col("value") * 1000 + 1500).cast("long"))
-    return events.select("event_id", name.alias("clip_id"))
+    name = X.clip_id(F.concat(F.lit("u"), F.col("user_id")), F.col("value"), F.col("value") + 1.5)
+    return table(spark, sf_dir, "events").select("event_id", name.alias("clip_id"))
 
 
 @register(
     "safe_change_gate",
-    """select a.conv_id, a.turn, round(length(b.text) / greatest(length(a.text), 1)::double, 6) as raw_ratio,
-  length(b.text) / greatest(length(a.text), 1)::double between 0.4 and 2.0 as raw_fine
-from conversations a join conversations b on a.conv_id = b.conv_id and b.turn = a.turn + 1""",
+    """with p as (select a.conv_id, a.turn, length(a.text) as n, length(b.text) as m, length(regexp_replace(a.text, '[^\\p{L}\\p{M}\\p{N}]', '', 'g')) as c, length(regexp_replace(b.text, '[^\\p{L}\\p{M}\\p{N}]', '', 'g')) as d
+  from conversations a join conversations b on a.conv_id = b.conv_id and b.turn = a.turn + 1)
+select conv_id, turn, round(m / greatest(n, 1)::double, 6) as raw_ratio, d > 0 and turn % 3 > 0 and d / greatest(c, 1)::double between 0.45 and 1.65 and m / greatest(n, 1)::double between 0.4 and 2.0 as safe from p""",
 )
 def safe_change_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The gate on each turn and the next one's text; the similarity is set by the turn, as SQL has no such ratio."""
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "text")
-    after = turns.select("conv_id", (F.col("turn") - 1).alias("turn"), F.length("text").alias("after"))
-    ratio = F.col("after") / F.greatest(F.length("text"), F.lit(1))
-    return turns.join(after, ["conv_id", "turn"]).select("conv_id", "turn", F.round(ratio, 6).alias("raw_ratio"), ratio.between(*R.RAW_RATIO).alias("raw_fine"))
+    after = turns.select("conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("after"))
+    ratio = F.when(F.col("turn") % 3 > 0, 0.6).otherwise(0.59)
+    safe = R.safe_change(F.length("text"), F.length("after"), F.length(X.compact("text")), F.length(X.compact("after")), ratio)
+    raw = F.length("after") / F.greatest(F.length("text"), F.lit(1))
+    return turns.join(after, ["conv_id", "turn"]).select("conv_id", "turn", F.round(raw, 6).alias("raw_ratio"), safe.alias("safe"))
 
 
 @register("change_similarity")
@@ -191,12 +187,18 @@ def change_similarity(spark: SparkSession, sf_dir: str) -> DataFrame:
     "select event_type, cast(json_extract_string(props, '$.k') as integer) as k, count(*) as n from events group by all",
 )
 def nested_column_read(spark: SparkSession, sf_dir: str) -> DataFrame:
-    k = F.get_json_object("props", "$.k").cast("int")
-    return table(spark, sf_dir, "events").groupBy("event_type", k.alias("k")).agg(F.count("*").alias("n"))
+    events = table(spark, sf_dir, "events").select("event_type", F.from_json("props", "k int").alias("props"))
+    return events.groupBy("event_type", readers.nested(events, "props.k").alias("k")).agg(F.count("*").alias("n"))
 
 
-@register("json_in_text", """select conv_id, turn, cast(turn as integer) as found from conversations""")
+@register("json_in_text", """select conv_id, turn, case when turn % 4 < 3 then cast(turn as integer) end as found from conversations""")
 def json_in_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    wrapped = F.concat(F.lit("Answer:\n```json\n{\"turn\": "), F.col("turn").cast("string"), F.lit("}\n```\n"))
+    """An object as the whole text, in a fenced block, between other words, and none."""
+    object_ = F.concat(F.lit('{"turn": '), F.col("turn").cast("string"), F.lit("}"))
+    shape = F.col("turn") % 4
+    wrapped = (
+        F.when(shape == 0, F.concat(F.lit(" "), object_)).when(shape == 1, F.concat(F.lit("Answer:\n```json\n"), object_, F.lit("\n```\n")))
+        .when(shape == 2, F.concat(F.lit("so it is "), object_, F.lit(" I think"))).otherwise(F.lit("{none"))
+    )
     found = F.get_json_object(X.json_from_text(wrapped), "$.turn").cast("int")
     return table(spark, sf_dir, "conversations").select("conv_id", "turn", found.alias("found"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -127,3 +128,39 @@ def manifest_index(manifest: DataFrame, caption: str = "caption") -> DataFrame:
 def cached_documents(documents: DataFrame, schema_version: int | str, model: str) -> DataFrame:
     """Cache entries that may be used again: this schema and model, and no error. documents: id, fingerprint, schema_version, model, status, result."""
     return documents.where((F.col("schema_version") == schema_version) & (F.col("model") == model) & (F.col("status") != "error"))
+
+
+#: Version of saved indexes.
+INDEX_VERSION = 1
+
+
+def saved_index(spark: SparkSession, path: str, schema: StructType | str, cache: str, caption: str = "caption") -> DataFrame:
+    """The index of a manifest, from the cache if that is of this version, file (size and time) and caption column, and whole; else made and saved."""
+    from loomspark.plans.runner import file_stamp
+
+    stamp = json.dumps({"version": INDEX_VERSION, "caption": caption, **{k: v for k, v in file_stamp(spark, path).items() if k != "path"}}, sort_keys=True)
+    try:
+        known = spark.read.json(f"{cache}/about").first()
+        index = spark.read.parquet(f"{cache}/rows")
+        if known["stamp"] == stamp and index.count() == known["rows"]:
+            return index
+    except AnalysisException:  # there is no cache, or none that can be read
+        pass
+    manifest_index(read_manifest(spark, path, schema), caption).write.mode("overwrite").parquet(f"{cache}/rows")
+    index = spark.read.parquet(f"{cache}/rows")
+    spark.createDataFrame([(stamp, index.count())], "stamp string, rows long").coalesce(1).write.mode("overwrite").json(f"{cache}/about")
+    return index
+
+
+def rows_at(manifest: DataFrame, places: DataFrame, key: str = "idx") -> DataFrame:
+    """Rows at the asked places, once for each time they are asked for; a place that isn't there is left out."""
+    return places.select(key).join(manifest, key)
+
+
+def skipped_first(rows: DataFrame, count: int, order: str = "idx", native_shards: bool = False, world: int = 1) -> DataFrame:
+    """rows from place `count` on. Refused where a reader of several shards of its own would skip in each of them."""
+    if count < 0:
+        raise ValueError("the number of rows to skip can't be negative")
+    if count and native_shards and world > 1:
+        raise ValueError("rows can't be skipped with native sharding over several readers")
+    return rows.where(F.col(order) >= count) if count else rows

@@ -6,6 +6,7 @@ from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
 
 def write_manifest(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
@@ -29,6 +30,13 @@ def skip_sidecar(df: DataFrame, reason: str = "skip_reason") -> tuple[DataFrame,
     return df.where(F.col(reason).isNull()).drop(reason), df.where(F.col(reason).isNotNull()).select("idx", F.col(reason).alias("reason"), error.alias("error"))
 
 
+def append_metrics(df: DataFrame, path: str, step: str = "step") -> None:
+    """Appends every numeric column of a metric table as rows (step, metric, value), for any sink that reads tables."""
+    numbers = [f.name for f in df.schema.fields if isinstance(f.dataType, NumericType) and f.name != step]
+    long = df.select(F.col(step).cast("long").alias("step"), *[F.col(c).cast("double").alias(c) for c in numbers]).unpivot("step", numbers, "metric", "value")
+    long.where("value is not null").write.mode("append").parquet(path)
+
+
 def concat_shards(spark: SparkSession, paths: list[str]) -> DataFrame:
     """Rank shards one after the other, with the shard's number; a missing shard is passed over."""
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()

@@ -425,3 +425,68 @@ def test_unsafe_proposals_are_rejected(spark):
     log = {r.id: r for r in change_log(got).collect()}  # rejected proposals are logged with what was suggested, their text unchanged
     assert set(log) == {*after, "silent"} and {k for k, r in log.items() if r.after != r.before} == {"near", "marked"}
     assert log["unrelated"].suggested == after["unrelated"] and log["unrelated"].similarity < 0.6 and log["marked"].similarity == 1.0
+
+
+def test_settings(tmp_path):
+    from loomspark.plans.settings import batch_columns, given, overridden, read_settings
+
+    (tmp_path / "s.json").write_text('{"longest": 4.0, "shortest": 1.0}')
+    (tmp_path / "l.json").write_text("[1]")
+    limits = overridden(W.Limits(), read_settings(f"{tmp_path}/s.json"), "limits")
+    assert (limits.longest, limits.shortest, limits.hop) == (4.0, 1.0, W.Limits().hop) and overridden(limits, None, "x") == limits
+    assert overridden(limits, given(hop=0.02, pause=None), "x").hop == 0.02
+    for bad in ({"nothing": 1}, {"longest": 1.0}, [1]):
+        with pytest.raises(ValueError):
+            overridden(limits, bad, "limits")
+    with pytest.raises(ValueError):
+        read_settings(f"{tmp_path}/l.json")
+    assert batch_columns(latent=False) == ("text_ids", "text_mask", "num_frames") and batch_columns(duration=True)[-1] == "duration_features"
+
+
+def test_saved_index_is_made_again_when_it_must(spark, tmp_path):
+    schema = "id string, text string, latent_path string, num_frames string"
+    path, cache = f"{tmp_path}/m.jsonl", f"{tmp_path}/cache"
+    write = lambda n: (tmp_path / "m.jsonl").write_text("".join(f'{{"id":"{i}","text":"t","latent_path":"p","num_frames":"{i}"}}\n' for i in range(n)))
+    stamp = lambda: spark.read.json(f"{cache}/about").first()["stamp"]
+    write(3)
+    assert readers.saved_index(spark, path, schema, cache).count() == 3
+    first = stamp()
+    assert readers.saved_index(spark, path, schema, cache).count() == 3 and stamp() == first
+    write(5)
+    assert readers.saved_index(spark, path, schema, cache).count() == 5 and stamp() != first
+    again = stamp()
+    assert readers.saved_index(spark, path, schema, cache, caption="other").count() == 5 and stamp() != again
+    rows = spark.range(6).withColumnRenamed("id", "idx")
+    assert sorted(r.idx for r in readers.rows_at(rows, spark.createDataFrame([(2,), (2,), (9,)], "idx long")).collect()) == [2, 2]
+    assert readers.skipped_first(rows, 4).count() == 2 and readers.skipped_first(rows, 0, native_shards=True, world=2).count() == 6
+    with pytest.raises(ValueError):
+        readers.skipped_first(rows, 1, native_shards=True, world=2)
+
+
+def test_metrics_are_appended_as_rows(spark, tmp_path):
+    for step in (1, 2):
+        writers.append_metrics(spark.createDataFrame([(step, 0.5, None, "x")], "step int, loss double, lr double, note string"), f"{tmp_path}/m")
+    assert sorted(tuple(r) for r in spark.read.parquet(f"{tmp_path}/m").collect()) == [(1, "loss", 0.5), (2, "loss", 0.5)]
+
+
+def test_agents_answer_in_order_of_preference(spark):
+    from loomspark.operators.transcripts import answered, corrected_rows
+
+    def picky(text):
+        if text != "a":
+            raise ValueError("no")
+        return "picky " + text
+
+    def broken_on_c(text):
+        if text == "c":
+            raise ValueError("never")
+        return "plain " + text
+
+    batches = spark.createDataFrame([("u", i, t) for i, t in enumerate("abc")], "source_uid string, ordinal int, payload string")
+    got = {r.ordinal: (r.status, r.agent, r.attempt, r.result, r.error) for r in answered(batches, [("picky", picky), ("plain", broken_on_c)]).collect()}
+    assert got[0] == ("ok", "picky", 1, "picky a", None) and got[1] == ("ok", "plain", 1, "plain b", None) and got[2] == ("failed", None, 4, None, "plain: never")
+    clips = spark.createDataFrame([("x", "old", "train", ["a"]), ("y", "", "train", None)], "id string, text string, status string, review_reasons array<string>")
+    done = spark.createDataFrame([("x", "speech", "old", "new", "other", True, "accepted")], "id string, kind string, text string, final_text string, category string, force_review boolean, outcome string")
+    rows = {r.id: r for r in corrected_rows(clips, done).collect()}
+    assert (rows["x"].text, rows["x"].asr_text_raw, rows["x"].status, rows["x"].review_reasons) == ("new", "old", "review", ["a", "llm_category_other"])
+    assert (rows["y"].text, rows["y"].status, rows["y"].review_reasons, rows["y"].correction) == ("", "train", None, None)
