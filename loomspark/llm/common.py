@@ -30,15 +30,17 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
-def materialize(df: DataFrame, label: str) -> DataFrame:
+def materialize(df: DataFrame, label: str, merged: bool = False) -> DataFrame:
     """Writes df to a table of its own in the shared folder and returns a reader of it.
 
+    merged: df is narrow and may leave many small files; its rows are rebalanced into files of the session's advisory size.
+
     The reader is a plain scan: lineage ends there, and a join above it can have its skewed
     partitions split at run time.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    (df.hint("rebalance") if merged else df).write.parquet(path)
     _written[path] = spark
     out = spark.read.schema(df.schema).parquet(path)
     out._written_to = path
@@ -57,6 +59,18 @@ def drop(df: DataFrame) -> None:
     _delete(df.sparkSession, getattr(df, "_written_to", None))
 
 
+def mark() -> set[str]:
+    """Tables that are there now, for :func:`release`."""
+    return set(_written)
+
+
+def release(before: set[str], *kept: DataFrame) -> None:
+    """Deletes the tables written since the mark but those that a result still reads."""
+    held = before | {df._written_to for df in kept}
+    for path in [p for p in _written if p not in held]:
+        _delete(_written[path], path)
+
+
 def _delete(spark: SparkSession, path: str | None) -> None:
     if path and _written.pop(path, None) is not None:
         jvm = spark.sparkContext._jvm

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import drop, fresh, materialize
+from .common import fresh, mark, materialize, release, sent_if_small
 
 BLANKS = " \t\r"
 
@@ -65,8 +65,9 @@ def drop_spread_lines(
 
     Places to drop are found by a join on the line's hash and grouped by row (id and hash of the text); the
     texts that have some are cut there. All of it are DataFrame expressions; a text's places are no more than its lines.
+    Texts are shuffled only if the table of places, by its counted size, is too large to broadcast.
     """
-    df = df.drop("removed_lines")
+    df, before = df.drop("removed_lines"), mark()
     keys = materialize(line_keys(df, id_col, text_col, site_col), "line-keys")
     found = materialize(spread_lines(keys, min_sites), "line-boilerplate")
     text = F.col(text_col)
@@ -74,17 +75,17 @@ def drop_spread_lines(
     lines = df.select(F.col(id_col).alias("id"), *[s.alias(f"s{i}") for i, s in enumerate(stamps)], F.posexplode(F.split(text, "\n")).alias("at", "line"))
     lines = lines.withColumn("line", F.btrim("line", F.lit(BLANKS))).where("line <> ''")
     lines = lines.select("id", "s0", "s1", "at", F.xxhash64("line").alias("k1"), F.xxhash64("line", F.lit(1)).alias("k2"))
-    held = materialize(lines.join(found, ["k1", "k2"]).select("id", "s0", "s1", "at", "k1", "k2", F.col("owner").eqNullSafe(F.col("id")).alias("own")), "line-held")
+    held = materialize(lines.join(found, ["k1", "k2"]).select("id", "s0", "s1", "at", "k1", "k2", F.col("owner").eqNullSafe(F.col("id")).alias("own")), "line-held", merged=True)
     # The first place of a line that the row owns stays.
     least = held.groupBy("id", "s0", "s1", "k1", "k2", "own").agg(F.sort_array(F.collect_set("at")).alias("at"))
     gone = least.select("id", "s0", "s1", F.when(F.col("own"), F.slice("at", 2, F.size("at"))).otherwise(F.col("at")).alias("at"))
     own = [fresh(df, c) for c in ("__id", "__s0", "__s1", "__gone")]
     drops = gone.groupBy("id", "s0", "s1").agg(F.flatten(F.collect_list("at")).alias("at")).where(F.size("at") > 0).toDF(*own)
     drops = materialize(drops, "line-drops")
-    drop(held)
+    release(before, drops)
     same = F.col(id_col).eqNullSafe(F.col(own[0])) & (stamps[0] == F.col(own[1])) & (stamps[1] == F.col(own[2]))
-    out = df.join(drops, same, "left")
     places = F.col(own[3])
+    out = df.join(sent_if_small(drops, 64 + 4 * F.size(places)), same, "left")
     # Lines and kept places are each computed once, as arguments of the outer functions.
     cut = F.transform(
         F.array(F.split(text, "\n")),
