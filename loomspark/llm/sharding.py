@@ -162,23 +162,22 @@ def contiguous_shards(
 ) -> DataFrame:
     """Shard and slot of every row, with the largest shard as small as contiguous groups allow.
 
-    Groups are rows of equal text, ordered by smallest id. Slots count from 0 without gaps in each shard, in
-    the order of a hash of the id. Rows are numbered in cells of about slot_rows rows (at most slot_cells
+    Groups are rows of equal text, ordered by smallest id; a text of which no row has an id takes a hash of itself as its
+    place. Slots count from 0 without gaps in each shard, in the order of a hash of the id (of rows without an id, of their place
+    in the written table). Rows are numbered in cells of about slot_rows rows (at most slot_cells
     cells a shard), so that no task holds a whole shard.
 
-    Returns id_col, size long, text_crc32 long (null for null text), group_id, shard int, slot long; one row
-    for each input row. Null texts are a group of their own; an empty table gives an empty result; rows with
-    a null id join no group: they go to shard 0 unless their text has a row with an id. Equal rows share a
-    shard and get different slots.
+    Returns id_col, size long, text_crc32 long (0 for null text, as it has no bytes), group_id, shard int, slot long; one row
+    for each input row. Null texts are a group of their own; an empty table gives an empty result; rows with a null id are
+    counted and placed like all others. Equal rows share a shard and get different slots.
     """
     text = F.col(text_col)
     rows = materialize(
-        df.select(F.col(id_col).alias("id"), text_key(text).alias("tkey"), row_size(text).alias("size"), F.crc32(text).cast("long").alias("crc")), "shard-rows"
-    )
-    by_text = materialize(rows.groupBy("tkey").agg(F.min("id").alias("gid"), F.sum("size").alias("gsize")), "shard-texts")
-    groups = materialize(
-        by_text.where("gid is not null").groupBy("gid").agg(F.sum("gsize").alias("size")), "shard-groups"
+        df.select(F.col(id_col).alias("id"), text_key(text).alias("tkey"), row_size(text).alias("size"), F.crc32(F.coalesce(text, F.lit(""))).cast("long").alias("crc")), "shard-rows"
     )
+    gid = F.coalesce(F.min(F.col("id").cast("long")), F.xxhash64("tkey"))
+    by_text = materialize(rows.groupBy("tkey").agg(gid.alias("gid"), F.sum("size").alias("gsize")), "shard-texts")
+    groups = materialize(by_text.groupBy("gid").agg(F.sum("gsize").alias("size")), "shard-groups")
     _, cuts = cut_points(groups, shards)
     drop(groups)
     placed = rows.join(by_text.select("tkey", "gid"), "tkey")
@@ -194,7 +193,8 @@ def contiguous_shards(
     cells = F.lit(1)
     for s, n in sorted(counts.items()):
         cells = F.when(F.col("shard") == s, max(1, min(slot_cells, n // slot_rows))).otherwise(cells)
-    celled = placed.withColumn("cell", F.pmod(F.col("h"), cells).cast("int"))
+    place = F.xxhash64("_metadata.file_name", "_metadata.row_index")  # apart also for rows that are equal
+    celled = placed.withColumn("h", F.when(F.col("id").isNull(), place).otherwise(F.col("h"))).withColumn("cell", F.pmod(F.col("h"), cells).cast("int"))
     sums = celled.groupBy("shard", "cell").agg(F.count("*").alias("n"))
     before = F.sum("n").over(Window.partitionBy("shard").orderBy("cell").rowsBetween(Window.unboundedPreceding, -1))
     # At most shards * slot_cells rows, whatever the input.

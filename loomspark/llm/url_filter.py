@@ -133,6 +133,7 @@ def judge_urls(
     probed = judged.withColumn("block", _block(F.col("canonical"), blocks)).join(cells, "block", "left")
     probed = probed.withColumn("possible", F.coalesce(all_set & F.col("rule").isNull() & (F.col("canonical") != ""), F.lit(False)))
     out = [F.col(c) for c in (id_col, "host", "path", "rule", "canonical", "possible")]
+    probed = materialize(probed.select(*out), "url-probed")  # the pages are read and taken apart once
     passed = probed.where(~F.col("possible")).select(*out, F.lit(False).alias("exact"))
     hits = (
         probed.where("possible").select(*out).join(keys.select(F.col("key").alias("canonical"), F.lit(True).alias("in_list")), "canonical", "left")

@@ -144,10 +144,26 @@ def test_shards_of_documents(spark, sf_dir):
 def test_shards_of_awkward_rows(spark):
     rows = sharding.contiguous_shards(rough(spark), 3).collect()
     assert len(rows) == 8 and len({r.shard for r in rows if r.doc_id in (0, 4)}) == 1
-    assert next(r.text_crc32 for r in rows if r.doc_id == 1) is None
+    assert next(r.text_crc32 for r in rows if r.doc_id == 1) == 0  # no text, no bytes
     assert sharding.contiguous_shards(rough(spark, 0), 3).count() == 0
 
 
+def test_shards_count_rows_without_ids(spark):
+    rng = random.Random(2)
+    data = [(None if i % 3 == 0 else i, f"text {i % 400} " + "x" * rng.randrange(60)) for i in range(900)] + [(None, "a copy")] * 300
+    rows = sharding.contiguous_shards(spark.createDataFrame(data, "doc_id long, text string"), 10).collect()
+    assert len(rows) == 1200 and sum(r.size for r in rows) == sum(len(t) + 16 for _, t in data)
+    load, slots = {}, {}
+    for r in rows:
+        load[r.shard] = load.get(r.shard, 0) + r.size
+        slots.setdefault(r.shard, []).append(r.slot)
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+    groups = {}
+    for r in rows:
+        groups.setdefault(r.group_id, [r.shard, 0])[1] += r.size
+    assert max(load.values()) == least_capacity([s for _, (_, s) in sorted(groups.items())], 10) and len({r.shard for r in rows if r.size == 22}) == 1
+
+
 def prints(text):
     import re
 
@@ -365,3 +381,49 @@ def test_pipeline_stages(spark, sf_dir):
     assert ids[0] >= ids[1] == ids[2] > ids[3] >= ids[4] == ids[5]
     assert state.where("not round_trip").count() == 0
     assert sorted(r.doc_id for r in corpus_pipeline.run(spark, sf_dir).collect()) == sorted(r.doc_id for r in rows)
+
+
+def test_pipeline_of_awkward_documents(spark, sf_dir, tmp_path):
+    item = spark.read.parquet(f"{sf_dir}/benchmark.parquet").first().text
+    rows = [(0, "the quick brown fox jumps over the lazy dog"), (None, "a row without an id"), (None, "a row without an id"), (1, None), (2, ""), (3, "lorem ipsum dolor " * 20_000)]
+    rows += [(4, "the quick brown fox jumps over the lazy dog"), (5, "one text"), (5, "one text"), (6, "first text of six"), (6, "second text, of six too"), (7, f"so {item} it is"), (None, item)]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1, 2, 3.0, "x") for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long, node int, stamp double, __lost string")
+    labels, bench = spark.createDataFrame([], "doc_id long, quality int, toxic int"), spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    for name, df in (("documents", docs), ("labels", labels), ("benchmark", bench)):
+        df.write.parquet(f"{tmp_path}/full/{name}.parquet")
+        (df.limit(0) if name != "benchmark" else df).write.parquet(f"{tmp_path}/none/{name}.parquet")
+    got = corpus_pipeline.run(spark, f"{tmp_path}/full").collect()
+    assert sorted((r.doc_id for r in got), key=repr) == sorted([0, 1, 3, 5, 6, 6, None, None], key=repr)
+    assert all(r.round_trip and r.n_tokens == len(r.ids) for r in got) and next(r for r in got if r.doc_id == 1).n_tokens == 0
+    state = docs
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        state = stage(spark, state, f"{tmp_path}/full")
+        assert sorted(state.columns) == sorted(docs.columns)
+    assert corpus_pipeline.run(spark, f"{tmp_path}/none").count() == 0
+
+
+def test_pipeline_stages_are_the_brute_force(spark, sf_dir):
+    """Line dedup, decontamination and encoding against plain versions, each on what the stage before kept."""
+    from tests.llm.test_simple_operators import leaks
+
+    import sentencepiece
+
+    from loomspark.llm import queries
+
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    kept = corpus_pipeline.drop_toxic(spark, docs, sf_dir)
+    model = toxicity.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    scores = {r.doc_id: r.score for r in toxicity.score(docs, model).collect()}
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(r.doc_id for r in docs.collect() if scores[r.doc_id] < 0.7 or not r.text)
+    lines = corpus_pipeline.drop_spread_lines(spark, kept, sf_dir)
+    want = cleaned([(r.doc_id, r.text, r.source) for r in kept.collect()])
+    assert sorted(((r.doc_id, r.text) for r in lines.collect()), key=repr) == sorted(((i, t) for i, t, _ in want), key=repr)
+    near = corpus_pipeline.drop_near_copies(spark, lines, sf_dir)
+    items = [tuple(r) for r in spark.read.parquet(f"{sf_dir}/benchmark.parquet").select("item_id", "text").collect()]
+    rows = [(r.doc_id, r.text) for r in near.collect()]
+    leaked = {r[0] for r in leaks(rows, items)}
+    clean = corpus_pipeline.drop_leaks(spark, near, sf_dir)
+    assert sorted(r.doc_id for r in clean.collect()) == sorted(i for i, _ in rows if i not in leaked)
+    library = sentencepiece.SentencePieceProcessor(model_file=queries.tokenizer_path("piece_bpe_32k.model"))
+    texts = dict(rows)
+    assert all(r.ids == library.encode(texts[r.doc_id] or "") and r.round_trip for r in corpus_pipeline.encode(spark, clean, sf_dir).collect())
