@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import materialize
+from .common import mark, materialize, release
 
 SEED = 11
 
@@ -209,7 +209,7 @@ def search(
 
     Returns query_id, rank int, vec_id, score double. Empty tables give an empty result.
     """
-    spark, keep = base.sparkSession, k + 1
+    spark, keep, before = base.sparkSession, k + 1, mark()
     rows = usable(base, id_col, vector_col)
     index_rows = materialize(packed(entries(rows, keep), "rep", "ids"), "ann-entries")
     total = index_rows.count()
@@ -278,6 +278,7 @@ def search(
     best = flat.withColumn("place", place).where(F.col("place") <= keep).groupBy("q").agg(F.collect_list(F.struct("place", "vec_id", "score")).alias("found"))
     best = materialize(best, "ann-best")
     named = materialize(ask.join(distinct.select("k1", "k2", "q"), ["k1", "k2"]).select("query_id", "q"), "ann-named")
+    release(before, best, named)
     others = F.slice(F.filter(F.array_sort("found"), lambda f: f["vec_id"] != F.col("query_id")), 1, k)
     return named.join(best, "q").select("query_id", F.posexplode(others).alias("at", "f")).select(
         "query_id", (F.col("at") + 1).alias("rank"), "f.vec_id", "f.score"

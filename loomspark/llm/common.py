@@ -10,12 +10,17 @@ import atexit
 import os
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
+from functools import wraps
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 #: Largest table that :func:`sent_if_small` marks for broadcast.
 BROADCAST_BYTES = 32 << 20
+#: Texts that are read at a time, and that go to a Python worker at a time.
+READ_TEXTS, BATCH_TEXTS = 1024, 1000
 
 _written: dict[str, SparkSession] = {}
 
@@ -54,6 +59,43 @@ def sent_if_small(df: DataFrame, row_bytes: int | Column) -> DataFrame:
     return F.broadcast(df) if size <= BROADCAST_BYTES else df
 
 
+def tidied(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """A batch function after which the worker gives freed memory back, as idle workers of earlier stages stay beside later ones."""
+
+    @wraps(run)
+    def whole(batches: Iterator) -> Iterator:
+        yield from run(batches)
+        _give_back()
+
+    return whole
+
+
+def read_gently(spark: SparkSession) -> None:
+    """Lowers two settings of the session, as texts can be long: rows that a reader takes apart at a time, and rows of a batch to Python."""
+    for name, most in (("spark.sql.parquet.columnarReaderBatchSize", READ_TEXTS), ("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_TEXTS)):
+        if not 0 < int(spark.conf.get(name)) <= most:
+            spark.conf.set(name, str(most))
+
+
+def arrow_map(df: DataFrame, run: Callable[[Iterator], Iterator], schema: StructType) -> DataFrame:
+    """mapInArrow for texts: batches are small (:func:`read_gently`), and workers are tidied after their tasks."""
+    read_gently(df.sparkSession)
+    return df.mapInArrow(tidied(run), schema)
+
+
+def _give_back() -> None:
+    import ctypes
+    import gc
+
+    import pyarrow as pa
+
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # only some C libraries have it
+    if trim is not None:
+        trim(0)
+
+
 def drop(df: DataFrame) -> None:
     """Deletes a table that :func:`materialize` wrote and that nothing reads any more."""
     _delete(df.sparkSession, getattr(df, "_written_to", None))

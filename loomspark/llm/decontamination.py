@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import drop, fresh, materialize, sent_if_small
+from .common import arrow_map, fresh, mark, materialize, release, sent_if_small
 
 #: Weight 6 each; the zeros of one are ones of another.
 MASKS = ("1110111", "110101011", "1011001101")
@@ -149,7 +149,7 @@ def test_items(benchmark: DataFrame, item_col: str, text_col: str, masks: tuple[
             yield pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(columns, kinds)], names=schema.names)
 
     texts = benchmark.select(F.xxhash64(text_col).alias("item"), F.col(text_col).alias("t")).where("t is not null").dropDuplicates(["item"])
-    return texts.mapInArrow(run, schema)
+    return arrow_map(texts, run, schema)
 
 
 def bit_filter(hashes: DataFrame, bits: int):
@@ -200,7 +200,7 @@ def training_hits(texts: DataFrame, table, masks: tuple[str, ...]) -> DataFrame:
                 found = pa.array(np.concatenate(hashes).view(np.int64)), pa.array(np.concatenate(places).astype(np.int32))
                 yield pa.RecordBatch.from_arrays([batch.column(0).take(keep), batch.column(1).take(keep), *found], names=schema.names)
 
-    return texts.select("s0", "s1", "text").mapInArrow(run, schema)
+    return arrow_map(texts.select("s0", "s1", "text"), run, schema)
 
 
 def stamps(text: Column) -> list[Column]:
@@ -233,6 +233,7 @@ def overlaps(
     Hits of equal texts are counted once, by text, item and diagonal. Only texts with hits are read again; they are
     shuffled only if the table of hits is too large to broadcast. No hit or diagonal is left out.
     """
+    before = mark()
     benchmark = benchmark.select(F.col(item_col).alias("item_id"), F.col(item_text_col).alias("t")).where("t is not null")
     items = materialize(test_items(benchmark, "item_id", "t", masks), "leak-items")
     seeds = materialize(items.select("item", F.explode(F.arrays_zip("h", "place")).alias("s")).select("item", "s.h", "s.place"), "leak-seeds")
@@ -276,18 +277,18 @@ def overlaps(
             made = [pa.array(c, pa.int32()) for c in columns[1:]]
             yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(at, pa.int64())), pa.array(columns[0], pa.int64()), *made], names=schema.names)
 
-    found = own_texts.mapInArrow(run, schema)
+    found = arrow_map(own_texts, run, schema)
     named = benchmark.select("item_id", F.xxhash64("t").alias("item"))
-    drop(seeds)
+    release(before, packs)
     return found.join(named, "item").select(id_col, "item_id", *ints)
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **settings) -> DataFrame:
-    """docs without the documents that overlap with a benchmark item; see :func:`overlaps`.
+def decontaminate(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", **settings) -> DataFrame:
+    """docs without the documents whose text overlaps with a benchmark item; see :func:`overlaps`.
 
-    Documents with a null id stay. Rows that share an id with a contaminated one go too.
+    Each row goes or stays by its own text, whatever its id, null ids too; null texts stay. All columns are kept.
     """
-    name = fresh(docs, "__leaked")
-    found = overlaps(docs, benchmark, id_col, text_col, **settings).select(F.col(id_col).alias(name)).distinct()
-    found = materialize(found, "leaked-ids")
-    return docs.join(sent_if_small(found, 48), F.col(id_col) == F.col(name), "left_anti")
+    name, stamp = fresh(docs, "__leaked"), F.xxhash64(F.col(text_col), F.col(text_col).isNull())
+    found = overlaps(docs.select(stamp.alias(name), F.col(text_col).alias("text")), benchmark, name, "text", **settings)
+    found = materialize(found.select(name).distinct(), "leaked-texts")
+    return docs.join(sent_if_small(found, 48), stamp == F.col(name), "left_anti")

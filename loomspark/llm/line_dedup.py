@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import fresh, mark, materialize, release, sent_if_small
+from .common import fresh, mark, materialize, read_gently, release, sent_if_small
 
 BLANKS = " \t\r"
 
@@ -67,6 +67,7 @@ def drop_spread_lines(
     texts that have some are cut there. All of it are DataFrame expressions; a text's places are no more than its lines.
     Texts are shuffled only if the table of places, by its counted size, is too large to broadcast.
     """
+    read_gently(df.sparkSession)
     df, before = df.drop("removed_lines"), mark()
     keys = materialize(line_keys(df, id_col, text_col, site_col), "line-keys")
     found = materialize(spread_lines(keys, min_sites), "line-boilerplate")

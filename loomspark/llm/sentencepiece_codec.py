@@ -25,6 +25,8 @@ from itertools import islice
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from .common import arrow_map
+
 MARK = "▁"
 _NORMAL, _BYTE, _USER = 1, 6, 4
 
@@ -290,4 +292,4 @@ def encode_decode(df: DataFrame, model_path: str, id_col: str = "doc_id", text_c
                 yield pa.RecordBatch.from_arrays([cut.column(0), lists, pa.array(texts, pa.string()), *([cut.column(1)] if keep_text else [])], names=schema.names)
         worker.rest()
 
-    return df.select(id_col, text_col).mapInArrow(run, schema)
+    return arrow_map(df.select(id_col, text_col), run, schema)

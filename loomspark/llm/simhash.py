@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .components import connected_components
-from .common import drop, fresh, materialize, sent_if_small
+from .common import arrow_map, drop, fresh, mark, materialize, release, sent_if_small
 
 BITS, SEGMENTS, WIDTH = 64, 2, 32
 #: Bits in which linked fingerprints differ at most; a segment's ball has half of it as radius.
@@ -70,7 +70,7 @@ def fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             found = np.array([one(t.as_py()) for t in batch.column(2)], dtype=np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found)], names=schema.names)
 
-    return df.select(id_col, stamp_of(F.col(text_col)).alias("stamp"), text_col).mapInArrow(run, schema)
+    return arrow_map(df.select(id_col, stamp_of(F.col(text_col)).alias("stamp"), text_col), run, schema)
 
 
 def stamp_of(text: Column) -> Column:
@@ -138,6 +138,7 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     Texts are read once; from there on only ids and fingerprints move. Equal fingerprints are one node, so
     a group of copies costs one row after each task's own aggregation.
     """
+    before = mark()
     prints = materialize(fingerprints(df, id_col, text_col, words), "simhash-prints")
     nodes = materialize(prints.groupBy("fp").agg(F.min(id_col).alias("first_id")), "simhash-nodes")
     roots = connected_components(link_fingerprints(nodes.select("fp")))  # node, root: linked nodes only
@@ -145,7 +146,7 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     named = materialize(named, "simhash-named")
     least = named.groupBy("root").agg(F.min("first_id").alias("component_id"))
     table = materialize(named.join(materialize(least, "simhash-least"), "root").select("fp", "component_id", "root"), "simhash-table")
-    drop(roots)
+    release(before, prints, table)
     return prints.join(table, "fp").select(id_col, "stamp", "fp", "component_id", "root")
 
 

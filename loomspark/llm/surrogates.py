@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import drop, materialize
+from .common import arrow_map, drop, materialize
 
 ROUNDS = 6
 #: Given names by script and gender; each list is one domain. Production passes longer ones.
@@ -389,7 +389,7 @@ def replace_pii(df: DataFrame, key: bytes, id_col: str = "doc_id", text_col: str
                 entities.append([{"start": a, "end": b, "kind": k, "entity": digest(k, c), "surrogate": s, "whole": digest(k, w)} for a, b, k, c, s, w in found])
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string()), pa.array(entities, kind)], names=[id_col, text_col, "entities"])
 
-    return df.select(id_col, text_col).mapInArrow(run, schema)
+    return arrow_map(df.select(id_col, text_col), run, schema)
 
 
 def collisions(replaced: DataFrame) -> DataFrame:

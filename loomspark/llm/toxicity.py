@@ -25,6 +25,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .common import arrow_map
+
 #: Classes of characters: letters a to z, digits, 90 classes for all others by code point, and a word's edge.
 ALPHABET, OTHERS = 128, 90
 EDGE = ALPHABET - 1
@@ -354,7 +356,7 @@ def train(
             found = [sorted(words_of(t.as_py())) for t in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(found, pa.list_(pa.string()))], names=["id", "label", "words"])
 
-    rows = texts.select("id", "text", "label").mapInArrow(run, schema)
+    rows = arrow_map(texts.select("id", "text", "label"), run, schema)
     found = [(r.id, [sys.intern(w) for w in r.words], r.label) for r in rows.toLocalIterator()]
     return fit([(words, label) for _, words, label in sorted(found)])
 
@@ -403,7 +405,7 @@ def score(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "
                 scores, worst = scorer(cut.column(1).to_pylist())
                 yield pa.RecordBatch.from_arrays([cut.column(0), pa.array(scores, pa.float64()), pa.array(worst, pa.string())], names=[id_col, "score", "worst"])
 
-    return df.select(id_col, text_col).mapInArrow(run, schema)
+    return arrow_map(df.select(id_col, text_col), run, schema)
 
 
 def keep_clean(df: DataFrame, model: Model, at: float = 0.7, text_col: str = "text") -> DataFrame:
@@ -421,4 +423,4 @@ def keep_clean(df: DataFrame, model: Model, at: float = 0.7, text_col: str = "te
                 scores, _ = scorer(texts)
                 yield cut.filter(pa.array([s < at or not t for s, t in zip(scores, texts)]))
 
-    return df.mapInArrow(run, df.schema)
+    return arrow_map(df, run, df.schema)
