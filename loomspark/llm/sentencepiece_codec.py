@@ -34,7 +34,7 @@ _NORMAL, _BYTE, _USER = 1, 6, 4
 class PrefixTableCodec:
     """Encoder and decoder for a merge-type (BPE) sentencepiece model with byte fallback."""
 
-    def __init__(self, model_path: str, memo_entries: int = 150_000, core_entries: int = 40_000):
+    def __init__(self, model_path: str, memo_entries: int = 250_000, core_entries: int = 60_000):
         import ahocorasick
         from sentencepiece import sentencepiece_model_pb2
 
