@@ -34,7 +34,7 @@ def drop_spread_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: five-word shingles, Jaccard similarity of 0.8 or more."""
+    """One document of each group of near copies: SimHash tables on five-word shingles, verified Jaccard similarity of 0.8 or more."""
     return near_copies.keep_one(docs)
 
 

@@ -1,24 +1,29 @@
-"""Groups of near copies: Jaccard similarity of word shingles, exact on candidates from MinHash bands.
-
-Texts with equal sets of shingles are one node. A node has 128 minima in 32 bands of four; two nodes are candidates if
-they share a band, which pairs of similarity 0.8 miss with a chance of 5e-8. In a band's bucket the members are compared
-with its hub first, the text with most copies (an original is copied more often than its variants), on the complete sets.
-
-Buckets that this leaves in different components are open. Pairs of an open bucket's members from different components
-are tested on sketches, four bits of each of 512 minima, each pair in the first band that it shares; of pairs of similarity
-0.8, over 140 minima of all or 48 of the first 128 differ with a chance of 4e-7. What passes is verified on the complete sets. A group of near copies
-costs few comparisons so; many unlike members of one bucket still cost a test of sketches for each pair. None is left out.
+"""Groups of near copies: SimHash tables find candidates, the Jaccard similarity of the complete sets decides.
+
+Texts with equal sets of word shingles are one node. At a similarity of 0.8 the SimHash bits of two sets differ with a chance
+of 0.152 at most (0.188 for sets of four and five shingles), so 64 bits can't tell near copies from others: a node has a
+fingerprint of 2,304 bits instead. 192 of them are its check, 1,152 are 96 segments of 12 bits, and each segment has a
+table (multi-index hashing). Two nodes meet if they agree in a segment, which pairs of similarity 0.8 miss in all tables with
+a chance of 6e-7; sets of up to seven shingles have as many segments again. Nodes that meet are compared by their checks: of
+pairs of similarity 0.8, over 62 bits differ with a chance below 1e-8 (2e-6 for four and five shingles), of unlike ones 62 or fewer with one of 7e-7.
+
+In a bucket the most copied node that is still alone meets all others (an original is copied more often than its variants),
+and those that are alone and in whose checks at most 38 bits differ go with it; then the next one that is alone does. These pairs are verified on
+the complete sets. Nodes with other pairs that pass are open: those of different components by then are compared in a second
+round, all of them, by whole fingerprints too (over 435 bits differ with a chance of 4e-7), and verified. A group of near
+copies costs few comparisons so; many unlike members of one bucket still cost a test of checks for each pair. None is left out.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
-from pyspark.sql import Column, DataFrame
+from pyspark import Broadcast
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import arrow_map, drop, mark, materialize, release, sent_if_small
+from .common import BROADCAST_BYTES, arrow_map, drop, mark, materialize, release, sent_if_small
 from .components import connected_components
 from .simhash import kept, spread_out, stamp_of
 
@@ -26,25 +31,28 @@ BITS = 64
 #: Fixed values of near-duplicate stages on word shingles.
 WORDS = 5
 LEAST = (4, 5)  # similarity as a fraction: 0.8
-BANDS, ROWS = 32, 4
-#: Minima of a sketch, bits kept of each, and minima that may differ in them.
-SKETCH, KEPT_BITS, MAY_DIFFER = 512, 4, 140
-#: Longs of a sketch that are tested first (128 minima), and minima that may differ in them.
-HEAD, HEAD_DIFFER = 8, 48
+#: Segments of a fingerprint, each with a table, and their bits. Sets of up to SMALL shingles have twice as many.
+SEGMENTS, WIDTH, SMALL = 96, 12, 7
+#: Longs of a fingerprint that are its check, bits in which the checks of near copies may differ, and of those compared at once.
+CHECK, MAY_DIFFER, AT_ONCE = 3, 62, 38
+#: Longs of a fingerprint: all (check, segments, others; small sets have more), and the segments. Bits of all in which near copies may differ.
+LONGS, SEGMENT_LONGS, ALL_DIFFER = 36, SEGMENTS * WIDTH // BITS, 435
+#: Nodes that a group of buckets should hold; more nodes, more groups.
+GROUP_NODES = 1 << 17
 #: Largest number of shingles that is broadcast; more are joined by shuffles.
 BROADCAST_SHINGLES = 4_000_000
 
 
 def shingled(df: DataFrame, id_col: str, text_col: str, words: int, what: str) -> DataFrame:
-    """stamp, node long (a digest of the set of shingles), size int, and what: keys (one for each band), sketch, or shingles (the set).
+    """stamp, node long (a digest of the set of shingles), size int, and what: bits (the fingerprint, no longs without words) or shingles (the set).
 
     A-Z is lower-cased, words are runs without ASCII white space. A text with fewer words has one shingle, its whole
-    sequence; texts without words have node 0. Shingles are XXH64 values (seed 42).
+    sequence; texts without words have node 0. Shingles are XXH64 values (seed 42). Each value is mixed into as many
+    longs as a fingerprint has, and a bit of the fingerprint is set if it is set in over half of the set's.
     """
     longs = T.ArrayType(T.LongType())
     fields = [T.StructField(id_col, df.schema[id_col].dataType), T.StructField("stamp", T.LongType()), T.StructField("node", T.LongType(), False), T.StructField("size", T.IntegerType(), False)]
     schema = T.StructType([*fields, T.StructField(what, longs, False)])
-    count = {"keys": BANDS * ROWS, "sketch": SKETCH, "shingles": 0}[what]
     lower = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 
     def run(batches: Iterator) -> Iterator:
@@ -53,9 +61,12 @@ def shingled(df: DataFrame, id_col: str, text_col: str, words: int, what: str) -
         from xxhash import xxh64_intdigest
 
         rng = np.random.default_rng(8)
-        odd = rng.integers(0, 1 << 63, count, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-        shift = rng.integers(0, 1 << 63, count, dtype=np.uint64) * np.uint64(2)
-        chunk = 1 << 11  # shingles at a time, so that long texts stay small in memory
+        most = CHECK + 2 * SEGMENT_LONGS
+        odd = rng.integers(0, 1 << 63, (most, 1), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+        shift = rng.integers(0, 1 << 63, (most, 1), dtype=np.uint64) * np.uint64(2)
+        again, lanes = np.uint64(0x9FB21C651E98DF25), np.uint64(0x0101010101010101)
+        half, third = np.uint64(32), np.uint64(29)
+        chunk = 255  # shingles at a time: what a byte can count
 
         def shingles(text: str | None) -> np.ndarray:
             parts = (text or "").encode().translate(lower).split()
@@ -68,20 +79,20 @@ def shingled(df: DataFrame, id_col: str, text_col: str, words: int, what: str) -
             stops = stops[words - 1 :] if len(parts) >= words else stops[-1:]
             return np.unique(np.array([xxh64_intdigest(joined[a:b], 42) for a, b in zip(starts, stops)], dtype=np.uint64))
 
-        def minima(h: np.ndarray) -> np.ndarray:
-            least = np.full(count, np.iinfo(np.uint64).max)
+        def bits(h: np.ndarray) -> np.ndarray:
+            longs = most if len(h) <= SMALL else LONGS
+            counts = np.zeros((8, longs, 8), dtype=np.int64)  # bit of a byte, long, byte of a long
             for at in range(0, len(h), chunk):
-                np.minimum(least, (h[at : at + chunk, None] * odd + shift).min(axis=0), out=least)
-            return least
-
-        def keys(h: np.ndarray) -> np.ndarray:
-            return np.array([xxh64_intdigest(band.tobytes(), i) for i, band in enumerate(minima(h).reshape(BANDS, ROWS))], dtype=np.uint64)
-
-        def sketch(h: np.ndarray) -> np.ndarray:
-            bits = (minima(h) >> np.uint64(24) & np.uint64((1 << KEPT_BITS) - 1)).reshape(-1, BITS // KEPT_BITS)
-            return (bits << np.arange(0, BITS, KEPT_BITS, dtype=np.uint64)).sum(axis=1, dtype=np.uint64)
-
-        made = {"keys": keys, "sketch": sketch, "shingles": lambda h: h}[what]
+                x = h[at : at + chunk] * odd[:longs] + shift[:longs]
+                x ^= x >> half
+                x *= again
+                x ^= x >> third
+                for i in range(8):
+                    counts[i] += (x >> np.uint64(i) & lanes).sum(axis=1).view(np.uint8).reshape(longs, 8)
+            is_set = (counts * 2 > len(h)).transpose(1, 2, 0).reshape(-1)
+            return np.packbits(is_set, bitorder="little").view(np.uint64)
+
+        made = {"bits": bits, "shingles": lambda h: h}[what]
         for batch in batches:
             nodes, sizes, lists = [], [], []
             for text in batch.column(2):
@@ -97,22 +108,171 @@ def shingled(df: DataFrame, id_col: str, text_col: str, words: int, what: str) -
     return arrow_map(df.select(id_col, stamp_of(F.col(text_col)).alias("stamp"), text_col), run, schema)
 
 
-def differing(x: Column) -> Column:
-    """Of the minima that a long of two sketches' xor holds, those that differ."""
-    x = x.bitwiseOR(F.shiftrightunsigned(x, 2))
-    return F.bit_count(x.bitwiseOR(F.shiftrightunsigned(x, 1)).bitwiseAND(F.lit(sum(1 << i for i in range(0, BITS, KEPT_BITS)))))
+def _entry(rooted: bool) -> list:
+    """Fields of a node in a bucket."""
+    return [("key", "<u2"), ("copies", "<u2"), ("size", "<i4"), ("node", "<i8"), ("check", "<u8", CHECK), *([("root", "<i8")] if rooted else [])]
+
+
+def dealt(nodes: DataFrame, prefix: int, rooted: bool) -> DataFrame:
+    """Entries of nodes (node, size, copies, bits, and root if rooted) in the tables of all segments.
+
+    One row for each batch of nodes and group of buckets (a table's keys with the same first bits, as many as prefix): group int, entries binary.
+    """
+
+    def run(batches: Iterator) -> Iterator:
+        import numpy as np
+        import pyarrow as pa
+
+        places = 1 << np.arange(WIDTH, dtype=np.uint16)
+        for batch in batches:
+            column = {n: batch.column(i).to_numpy(zero_copy_only=False) for i, n in enumerate(batch.schema.names) if n != "bits"}
+            lists = batch.column(batch.schema.names.index("bits"))
+            lengths, flat = lists.value_lengths().to_numpy(zero_copy_only=False), lists.flatten().to_numpy(zero_copy_only=False).view(np.uint64)
+            begins = np.cumsum(lengths) - lengths
+            groups, packed = [], []
+            for tables in (SEGMENTS, 2 * SEGMENTS):
+                longs = CHECK + tables * WIDTH // BITS
+                rows = np.flatnonzero(lengths == (LONGS if tables == SEGMENTS else longs))
+                if not len(rows):
+                    continue
+                prints = flat[begins[rows][:, None] + np.arange(longs)]
+                bits = np.unpackbits(np.ascontiguousarray(prints[:, CHECK:]).view(np.uint8), axis=1, bitorder="little")
+                keys = (bits.reshape(len(rows), tables, WIDTH) * places).sum(axis=2, dtype=np.uint16)
+                entries = np.zeros(len(rows), dtype=_entry(rooted))
+                entries["copies"] = np.minimum(column["copies"][rows], 0xFFFF)
+                entries["check"] = prints[:, :CHECK]
+                for name in ("size", "node", *(["root"] if rooted else [])):
+                    entries[name] = column[name][rows]
+                for at in range(tables):
+                    entries["key"] = keys[:, at]
+                    first = keys[:, at] >> (WIDTH - prefix)
+                    order = np.argsort(first, kind="stable")
+                    cuts = np.flatnonzero(np.diff(first[order])) + 1
+                    for part in np.split(order, cuts):
+                        groups.append(at << prefix | int(first[part[0]]))
+                        packed.append(entries[part].tobytes())
+            yield pa.RecordBatch.from_arrays([pa.array(groups, pa.int32()), pa.array(packed, pa.binary())], names=["group", "entries"])
+
+    columns = ["node", "size", "copies", "bits", *(["root"] if rooted else [])]
+    schema = T.StructType([T.StructField("group", T.IntegerType(), False), T.StructField("entries", T.BinaryType(), False)])
+    return arrow_map(spread_out(nodes.select(*columns), "node"), run, schema)
+
+
+def met(groups: DataFrame, rooted: bool, parts: int, prints: Broadcast | None = None) -> DataFrame:
+    """Distinct pairs (a, b) of nodes that share a bucket and pass the test of their checks and sizes.
+
+    Not rooted: a < b of nodes that are alone when their turn comes with others of the bucket, and (a, a) for nodes with pairs left.
+    Rooted: a < b of different roots; prints (nodes in order, their fingerprints and their sizes) test them by whole fingerprints, too.
+    """
+
+    def run(table):  # one group's rows
+        import numpy as np
+        import pyarrow as pa
 
+        raw = b"".join(e.as_py() for e in table.column("entries"))
+        e = np.frombuffer(raw, dtype=_entry(rooted))
+        by = (e["node"], e["root"], e["key"]) if rooted else (e["node"], -e["copies"].astype(np.int32), e["key"])
+        e = e[np.lexsort(by)]
+
+        def runs(*columns) -> tuple:
+            """Where runs of equal values begin, and their lengths."""
+            new = np.ones(len(columns[0]), dtype=bool)
+            new[1:] = np.logical_or.reduce([c[1:] != c[:-1] for c in columns])
+            begins = np.flatnonzero(new)
+            return begins, np.diff(np.append(begins, len(new)))
+
+        _, lengths = runs(e["key"])
+        e = e[np.repeat(lengths > 1, lengths)]
+        if rooted and len(e):  # buckets of several roots
+            begins, lengths = runs(e["key"])
+            mixed = e["root"][begins] != e["root"][begins + lengths - 1]
+            e = e[np.repeat(mixed, lengths)]
+        pairs = []
+        if len(e):
+            begins, lengths = runs(e["key"])
+            node, size, checks = e["node"].copy(), e["size"].astype(np.int64), [e["check"][:, i].copy() for i in range(CHECK)]
+            waiting = np.ones(len(e), dtype=bool)  # their turn to meet the others may come
+            untested = np.ones(len(e), dtype=bool)  # haven't met all others yet
+            if rooted:  # the members of a bucket's commonest root need no turn
+                at, n = runs(e["key"], e["root"])
+                bucket = np.repeat(np.arange(len(begins)), lengths)[at]
+                common = at[np.lexsort((-n, bucket))][np.append(True, np.diff(np.sort(bucket)) > 0)]
+                counts = n[np.searchsorted(at, common)]
+                waiting[np.repeat(common, counts) + np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)] = False
+            p, q = LEAST
+            while True:
+                offsets = np.cumsum(lengths) - lengths
+                idx = np.repeat(begins - offsets, lengths) + np.arange(lengths.sum())
+                turn = np.minimum.reduceat(np.where(waiting[idx], idx, len(e)), offsets)
+                live = turn < len(e)
+                if not live.any():
+                    break
+                if not live.all():
+                    idx, begins, lengths, turn = idx[np.repeat(live, lengths)], begins[live], lengths[live], turn[live]
+                waiting[turn] = untested[turn] = False
+                one = np.repeat(turn, lengths)
+                differ = sum(np.bitwise_count(c[idx] ^ np.repeat(c[turn], lengths)).astype(np.uint8) for c in checks)
+                hits = np.flatnonzero((differ <= MAY_DIFFER) & untested[idx])
+                one, other = one[hits], idx[hits]
+                near = (p * size[one] <= q * size[other]) & (p * size[other] <= q * size[one]) & (node[one] != node[other])
+                if rooted:
+                    near &= e["root"][one] != e["root"][other]
+                one, other = one[near], other[near]
+                if not rooted:
+                    left = (differ[hits[near]] > AT_ONCE) | ~waiting[other]
+                    pairs += [np.stack([node[x], node[x]]) for x in (one[left], other[left], one[~left], other[~left])]
+                    one, other = one[~left], other[~left]
+                    waiting[other] = False
+                elif prints is not None:
+                    near = whole(node[one], node[other])
+                    one, other = one[near], other[near]
+                pairs.append(np.stack([np.minimum(node[one], node[other]), np.maximum(node[one], node[other])]))
+        a, b = once(np.concatenate(pairs, axis=1)) if pairs else np.zeros((2, 0), dtype=np.int64)
+        part = (a.view(np.uint64) % np.uint64(parts)).astype(np.int32)
+        order = np.argsort(part, kind="stable")
+        cuts = np.split(order, np.flatnonzero(np.diff(part[order])) + 1) if len(order) else []
+        packed = [np.stack([a[c], b[c]]).tobytes() for c in cuts]
+        return pa.table({"part": pa.array([int(part[c[0]]) for c in cuts], pa.int32()), "pairs": pa.array(packed, pa.binary())})
+
+    def union(table):  # pairs of many groups, each once
+        import numpy as np
+        import pyarrow as pa
 
-def head_of(sketch: Column) -> list[Column]:
-    """The first longs of a sketch as columns h0, h1 and so on; most pairs end at them."""
-    return [F.get(sketch, i).alias(f"h{i}") for i in range(HEAD)]
+        a, b = once(np.concatenate([np.frombuffer(x.as_py(), dtype=np.int64).reshape(2, -1) for x in table.column("pairs")], axis=1))
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
+    def once(pairs):
+        import numpy as np
 
-def alike(a: Callable[[str], Column], b: Callable[[str], Column]) -> Column:
-    """Whether few enough minima differ: of the head, then of the whole sketch."""
-    head = [differing(a(f"h{i}").bitwiseXOR(b(f"h{i}"))) for i in range(HEAD)]
-    each = F.zip_with(a("sketch"), b("sketch"), lambda x, y: differing(x.bitwiseXOR(y)))
-    return (sum(head[1:], head[0]) <= HEAD_DIFFER) & (F.aggregate(each, F.lit(0), lambda n, x: n + x) <= MAY_DIFFER)
+        pairs = pairs[:, np.lexsort(pairs)]
+        new = np.ones(pairs.shape[1], dtype=bool)
+        new[1:] = (pairs[:, 1:] != pairs[:, :-1]).any(axis=0)
+        return pairs[:, new]
+
+    def whole(x, y):
+        import numpy as np
+
+        nodes, bits, sizes = prints.value
+        x, y = np.searchsorted(nodes, x), np.searchsorted(nodes, y)
+        differ = np.zeros(len(x), dtype=np.int64)
+        for at in range(0, len(x), 1 << 12):
+            here = slice(at, at + (1 << 12))
+            differ[here] = np.bitwise_count(bits[x[here]] ^ bits[y[here]]).sum(axis=1, dtype=np.int64)
+        return (differ <= ALL_DIFFER) | (np.minimum(sizes[x], sizes[y]) <= SMALL)
+
+    packed = groups.groupBy("group").applyInArrow(run, "part int, pairs binary")
+    return packed.groupBy("part").applyInArrow(union, "a long, b long")
+
+
+def _sent_prints(nodes: DataFrame) -> Broadcast | None:
+    """Fingerprints of nodes for :func:`met`, unless they are too many; the test is only to spare verifications."""
+    import numpy as np
+
+    if nodes.count() * (LONGS + 2) * 8 > BROADCAST_BYTES:
+        return None
+    got = nodes.where("size > 0").select("node", "size", F.slice("bits", 1, LONGS).alias("bits")).toPandas().sort_values("node")
+    bits = np.stack(got["bits"].to_numpy()).view(np.uint64) if len(got) else np.zeros((0, LONGS), dtype=np.uint64)
+    return nodes.sparkSession.sparkContext.broadcast((got["node"].to_numpy(), bits, got["size"].to_numpy()))
 
 
 def _verified(pairs: DataFrame, nodes: DataFrame, df: DataFrame, id_col: str, text_col: str, words: int) -> DataFrame:
@@ -140,39 +300,24 @@ def near_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", w
     component_id, root (the component's own name); repeated rows get equal results, and an empty table gives an empty one.
     """
     before = mark()
-    p, q = LEAST
-    a, b = (lambda c: F.col(f"a.{c}")), (lambda c: F.col(f"b.{c}"))
-    fits = (p * a("size") <= q * b("size")) & (p * b("size") <= q * a("size"))
-
-    prints = materialize(shingled(df.where(F.col(id_col).isNotNull()), id_col, text_col, words, "keys"), "near-prints")
-    nodes = prints.groupBy("node", "size", "keys").agg(F.min(id_col).alias("first_id"), F.count("*").alias("copies"))
-    # Lower for a text with more copies; its low 40 bits tell the nodes of a bucket apart.
-    weight = F.least("copies", F.lit((1 << 22) - 1))
-    nodes = nodes.withColumn("place", (F.lit((1 << 22) - 1) - weight) * F.lit(1 << 40) + F.col("node").bitwiseAND(F.lit((1 << 40) - 1)))
+    prints = materialize(shingled(df.where(F.col(id_col).isNotNull()), id_col, text_col, words, "bits"), "near-prints")
+    nodes = prints.groupBy("node", "size", "bits").agg(F.min(id_col).alias("first_id"), F.count("*").alias("copies"))
     nodes = materialize(nodes, "near-nodes")
-    keyed = spread_out(nodes.select("node", "place", "keys"), "node").select("node", "place", F.explode("keys").alias("key"))
-    shared = keyed.groupBy("key").agg(F.min("place").alias("hub"), F.count("*").alias("n")).where("n > 1").select("key", "hub")
-    members = materialize(keyed.join(materialize(shared, "near-shared"), "key"), "near-members", merged=True)
-    rays = materialize(members.where("place <> hub").select("node", "hub").distinct(), "near-rays")
-    ends = nodes.select("node", "place", "size")
-    rays = rays.join(ends.alias("a"), "node").join(ends.alias("b"), F.col("hub") == b("place")).where(fits & (a("node") != b("node")))
-    first = rays.select(F.least(a("node"), b("node")).alias("a"), F.greatest(a("node"), b("node")).alias("b"))
-    first = materialize(first.distinct(), "near-first")
+    prefix = min(WIDTH, max(0, (nodes.count() - 1) // GROUP_NODES).bit_length())
+    parts = 16 << prefix
+    passed = materialize(met(dealt(nodes, prefix, rooted=False), False, parts), "near-passed")
+    first = materialize(passed.where("a < b"), "near-first")
     links = _verified(first, nodes, df, id_col, text_col, words)
 
     roots = connected_components(links).withColumnRenamed("node", "n")
-    rooted = members.join(roots, F.col("node") == F.col("n"), "left").select("key", "node", F.coalesce("root", "node").alias("root"))
-    rooted = materialize(rooted, "near-rooted")
-    apart = rooted.groupBy("key").agg(F.min("root").alias("r"), F.max("root").alias("s")).where("r <> s").select("key")
-    apart = materialize(rooted.join(materialize(apart, "near-apart"), "key"), "near-apart-members")
-    used = nodes.join(apart.select("node").distinct(), "node", "left_semi").select(F.col("first_id").alias(id_col))
-    sketches = shingled(df.join(sent_if_small(materialize(used, "near-open-ids"), 48), id_col, "left_semi"), id_col, text_col, words, "sketch")
-    sketches = materialize(sketches.select("node", "size", "sketch", *head_of(F.col("sketch"))).dropDuplicates(["node"]), "near-sketches")
-    open_ = materialize(apart.join(sketches, "node").join(nodes.select("node", "keys"), "node"), "near-open", merged=True)
-    in_first_band = F.get(F.array_intersect(a("keys"), b("keys")), 0) == a("key")
-    met = (a("key") == b("key")) & (a("root") < b("root")) & fits & alike(a, b) & in_first_band
-    rest = open_.alias("a").join(open_.alias("b"), met).select(F.least(a("node"), b("node")).alias("a"), F.greatest(a("node"), b("node")).alias("b"))
-    rest = materialize(rest.distinct().join(first, ["a", "b"], "left_anti"), "near-rest")
+    used = passed.where("a = b").select(F.col("a").alias("node"))
+    open_ = nodes.join(used, "node", "left_semi").join(roots, F.col("node") == F.col("n"), "left").withColumn("root", F.coalesce("root", "node"))
+    open_ = materialize(open_.drop("n"), "near-open")
+    prints_sent = _sent_prints(open_)
+    rest = met(dealt(open_, prefix, rooted=True), True, parts, prints_sent)
+    rest = materialize(rest.join(first, ["a", "b"], "left_anti"), "near-rest")
+    if prints_sent is not None:
+        prints_sent.unpersist()
     links = links.unionByName(_verified(rest, nodes, df, id_col, text_col, words))
 
     roots = materialize(connected_components(links).withColumnRenamed("node", "n"), "near-roots")

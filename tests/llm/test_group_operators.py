@@ -427,3 +427,37 @@ def test_pipeline_stages_are_the_brute_force(spark, sf_dir):
     library = sentencepiece.SentencePieceProcessor(model_file=queries.tokenizer_path("piece_bpe_32k.model"))
     texts = dict(rows)
     assert all(r.ids == library.encode(texts[r.doc_id] or "") and r.round_trip for r in corpus_pipeline.encode(spark, clean, sf_dir).collect())
+
+
+def test_near_copies_meet_in_simhash_tables(spark, monkeypatch):
+    """Fingerprints are as far apart as the sets; tables find all pairs of 0.8; so they do in many groups and without sent fingerprints."""
+    from loomspark.llm import near_copies
+
+    rng = random.Random(11)
+    texts = []
+    for _ in range(30):
+        base = [f"w{rng.randrange(10**6)}" for _ in range(rng.choice((8, 9, 12, 60, 200)))]
+        texts += [" ".join(base)] + [" ".join(base[:at] + base[at + cut :]) for at, cut in ((0, 1), (len(base) // 2, 1), (3, 2), (0, len(base) // 9))]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r.doc_id: r for r in near_copies.shingled(docs, "doc_id", "text", 5, "bits").collect()}
+    sets = [{tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} for w in map(str.split, texts)]
+    differ = lambda a, b: sum((x ^ y & (1 << 64) - 1 if y < 0 <= x else x ^ y).__and__((1 << 64) - 1).bit_count() for x, y in zip(found[a].bits, found[b].bits)) / 36 / 64
+    near = []
+    for i in range(len(texts)):
+        for j in range(i):
+            both, total = len(sets[i] & sets[j]), len(sets[i] | sets[j])
+            if both >= 0.8 * total and sets[i] != sets[j]:
+                near.append(tuple(sorted((found[i].node, found[j].node))))
+            if min(len(sets[i]), len(sets[j])) > 50 and (both or j == i - 1):
+                assert abs(differ(i, j) - np.arccos(both / np.sqrt(len(sets[i]) * len(sets[j]))) / np.pi) < 0.06
+    assert len(near) > 30
+    nodes = spark.createDataFrame([(n, s, 1, b) for n, s, b in {(r.node, r.size, tuple(r.bits)) for r in found.values()}], "node long, size int, copies long, bits array<long>")
+    pairs = {(r.a, r.b) for r in near_copies.met(near_copies.dealt(nodes, 1, False), False, 3).collect()}
+    assert all((a, b) in pairs or {(a, a), (b, b)} <= pairs for a, b in near)
+    apart = near_copies.met(near_copies.dealt(nodes.withColumn("root", F.col("node")), 0, True), True, 3)
+    assert set(near) <= {(r.a, r.b) for r in apart.collect()}
+    classes = lambda: sorted((r.doc_id, r.component_id) for r in near_copies.near_copies(docs).collect())
+    want = classes()
+    monkeypatch.setattr(near_copies, "GROUP_NODES", 16)
+    monkeypatch.setattr(near_copies, "BROADCAST_BYTES", 0)
+    assert classes() == want
